@@ -30,6 +30,14 @@ class Paths:
             node = node[part].dataType
         return True
 
+    def is_list(self, path: str) -> bool:
+        node = self._type
+        for part in path.split("."):
+            if not isinstance(node, T.StructType) or part not in node.names:
+                return False
+            node = node[part].dataType
+        return isinstance(node, T.ArrayType)
+
     def raw(self, path: str) -> Column:
         if self.variant:
             return F.try_variant_get(F.col(self.column), f"$.{path}", "variant")

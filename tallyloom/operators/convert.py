@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 
 from ..functions import numbers as N
 from ..functions import text as X
-from .keyed import attach_by_key, row_numbers
+from .keyed import attach_by_key, row_numbers, small_side
 
 ID_WIDTH = 60
 NO_ID = "projekt"
@@ -428,7 +428,7 @@ def new_values(values: DataFrame, dims: DataFrame, group: str) -> DataFrame:
     """Values (column ``value``) that are not codes of their group yet."""
     codes = dims.where(F.col("group") == group).select(F.col("code").alias("value"))
     return (values.where(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-            .join(F.broadcast(codes), "value", "left_anti"))
+            .join(small_side(codes), "value", "left_anti"))
 
 
 def new_columns(headers: Sequence[str], mapping: Mapping[str, str | None]) -> list[str]:

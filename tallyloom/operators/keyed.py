@@ -15,6 +15,15 @@ from ..session import cut_lineage
 HOT_KEYS = 2048
 
 
+# A code list up to this length is broadcast; a longer one is joined by shuffle.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast when counting shows it is short enough."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def attach_by_key(big: DataFrame, small: DataFrame, keys: Sequence[str], weight: str,
                   how: str = "inner") -> DataFrame:
     """Join ``small`` (one row per key) onto ``big``.
