@@ -217,7 +217,8 @@ FLAT_DROP = {"dependencies": ("project_id", "idx")}
 def flat(df: DataFrame, table: str, order: bool = True) -> DataFrame:
     """A grain table as it is exported."""
     out = df.drop(*FLAT_DROP.get(table, ())).withColumnsRenamed(FLAT_RENAME.get(table, {}))
-    return out.orderBy(*FLAT_ORDER[table]) if order else out
+    keys = [c for c in FLAT_ORDER[table] if c in out.columns]
+    return out.orderBy(*keys) if order else out
 
 
 def label_coded(df: DataFrame, coded: Mapping[str, str], dims: DataFrame) -> DataFrame:

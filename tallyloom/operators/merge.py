@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, norm_key, squeeze, strip
-from .keyed import attach_by_key
+from .keyed import attach_by_key, row_numbers
 
 SERVICE = ("_rank", "_file", "_row")
 
@@ -27,6 +27,12 @@ def rank_names(names: Sequence[str]) -> dict[str, int]:
     return {name: i for i, name in enumerate(sorted(names), start=1)}
 
 
+def rank_rows(df: DataFrame, name: str, rank: str = "_rank") -> DataFrame:
+    """The same for sources that are rows of one table: add their rank."""
+    names = df.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+    return attach_by_key(df, row_numbers(names, [name], name=rank), [name], weight="_n")
+
+
 def stack_sources(sources: Mapping[str, DataFrame], row: str = "_row") -> DataFrame:
     """Stack the sources in precedence order; columns keep first-seen order."""
     stacked = None
