@@ -9,7 +9,7 @@ time costs one row per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 
 from ..functions import numbers as N
 from ..functions import text as X
+from ..session import cut_lineage
 from ..functions.similarity import MAX_LENGTH_GAP, SAME_VALUE_RATIO, edit_similarity, match_ratio
 
 # The limits of the kind decision.
@@ -72,6 +73,38 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return counted.select(index.alias("index"), "column", "value", "n")
 
 
+def stored_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``value_counts`` written once: a profile reads it several times."""
+    return cut_lineage(value_counts(df, columns))
+
+
+class Stages:
+    """The steps of one profile, each computed once and then read back.
+
+    Votes and separators have a few rows per column; settling them first keeps
+    the later plans small and splits only the columns that are lists.
+    """
+
+    def __init__(self, counts: DataFrame):
+        self.counts = counts
+
+    @cached_property
+    def votes(self) -> DataFrame:
+        return cut_lineage(cell_votes(self.counts))
+
+    @cached_property
+    def separators(self) -> DataFrame:
+        return cut_lineage(list_separator(self.counts, self.votes))
+
+    @cached_property
+    def tokens(self) -> DataFrame:
+        return cut_lineage(token_counts(self.counts, self.separators))
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return cut_lineage(profile_columns(self.counts, self))
+
+
 def _filled(counts: DataFrame) -> DataFrame:
     return counts.where(F.col("value").isNotNull())
 
@@ -127,7 +160,7 @@ def number_locale(counts: DataFrame) -> DataFrame:
                     .alias("number_locale")))
 
 
-def _scalar_votes(counts: DataFrame) -> DataFrame:
+def cell_votes(counts: DataFrame) -> DataFrame:
     """Per column: do all cells parse, how long are they, which separators occur."""
     value, n = F.col("value"), F.col("n")
     # Each reading is a column of its own, so that none is computed twice.
@@ -169,7 +202,7 @@ def list_separator(counts: DataFrame, votes: DataFrame | None = None) -> DataFra
     Share of cells, number and length of tokens come from one aggregate. Only
     separators that pass those are split for real, to count distinct tokens.
     """
-    votes = _scalar_votes(counts) if votes is None else votes
+    votes = cell_votes(counts) if votes is None else votes
     possible = F.filter(F.array(*[
         F.when((F.col(f"sep{i}_cells") >= LIST_MIN_SHARE * F.col("cells"))
                & (F.col(f"sep{i}_longest") <= LIST_MAX_TOKEN_LEN)
@@ -231,11 +264,10 @@ def suffix_unit(field: Column, unit: Column) -> Column:
     return F.when(suffix.isNotNull() & ~said, F.concat_ws("_", field, suffix)).otherwise(field)
 
 
-def profile_columns(counts: DataFrame) -> DataFrame:
+def profile_columns(counts: DataFrame, stages: Stages | None = None) -> DataFrame:
     """One row per column: fill, distinct, unit, locale, separator and kind."""
-    votes = _scalar_votes(counts)
-    separators = list_separator(counts, votes)
-    tokens = token_counts(counts, separators)
+    stages = stages or Stages(counts)
+    votes, separators, tokens = stages.votes, stages.separators, stages.tokens
     token_stats = tokens.groupBy("index", "column").agg(
         F.count(F.lit(1)).alias("token_distinct"), F.sum("n").alias("token_total"),
         F.sum(F.length("value") * F.col("n")).alias("token_chars"),
@@ -384,12 +416,10 @@ def saturation(numbered: DataFrame, columns: Sequence[str], row: str = "row_no")
         F.count(F.lit(1)).alias("distinct_100"))
 
 
-def profile_report(counts: DataFrame) -> DataFrame:
+def profile_report(counts: DataFrame, stages: Stages | None = None) -> DataFrame:
     """The profile with its hints as a list of texts."""
-    profile = profile_columns(counts)
-    votes = _scalar_votes(counts)
-    separators = list_separator(counts, votes)
-    tokens = token_counts(counts, separators)
+    stages = stages or Stages(counts)
+    profile, votes, separators, tokens = stages.profile, stages.votes, stages.separators, stages.tokens
     clusters = spelling_clusters(tokens).groupBy("column").agg(
         F.count_if(F.size("spellings") > 1).alias("_merged"))
     others = separator_hints(votes, separators).select("column", "also")

@@ -54,9 +54,12 @@ def counts(spark: SparkSession, sf: str) -> DataFrame:
     return P.value_counts(messy(spark, sf), COLUMNS)
 
 
+def stages(spark: SparkSession, sf: str) -> P.Stages:
+    return P.Stages(P.stored_counts(messy(spark, sf), COLUMNS))
+
+
 def tokens(spark: SparkSession, sf: str) -> DataFrame:
-    seen = counts(spark, sf)
-    return P.token_counts(seen, P.list_separator(seen))
+    return stages(spark, sf).tokens
 
 
 @query("clean_cell", f"""WITH {MESSY_SQL} SELECT rw, "Status", "Codes", "Leer", "Team" FROM clean""")
@@ -100,10 +103,10 @@ def _locale(spark, sf):
 
 @query("parse_number", f"""WITH {MESSY_SQL}
 SELECT rw, CAST(replace("Betrag (EUR)", ',', '.') AS DOUBLE) AS amount, CAST(replace("Menge", ' GB', '') AS DOUBLE) AS size,
-       'GB' AS unit, CAST(NULL AS DOUBLE) AS nothing FROM messy""")
+       'GB' AS unit, CASE WHEN regexp_matches("Priority", '^\\d [A-Z]{{1,6}}$') THEN CAST(left("Priority", 1) AS DOUBLE) END AS leading FROM messy""")
 def _number(spark, sf):
     return messy(spark, sf).select("rw", N.parse_number("Betrag (EUR)", "de").alias("amount"), N.parse_number("Menge").alias("size"),
-                                   N.number_unit("Menge").alias("unit"), N.parse_number("Priority").alias("nothing"))
+                                   N.number_unit("Menge").alias("unit"), N.parse_number("Priority").alias("leading"))
 
 
 @query("parse_date", "SELECT o_orderkey AS rw, CAST(o_orderdate AS DATE) AS day FROM orders")
@@ -119,7 +122,7 @@ def _boolish(spark, sf):
 @query("list_separator", """SELECT 6 AS index, 'Codes' AS "column", ';' AS list_separator FROM orders WHERE o_orderstatus <> 'O'
 HAVING COUNT(*) >= 0.15 * (SELECT COUNT(*) FROM orders)""")
 def _separator(spark, sf):
-    return P.list_separator(counts(spark, sf))
+    return stages(spark, sf).separators
 
 
 @query("token_explode", f'WITH {MESSY_SQL} SELECT index, "column", value, n FROM tokens')
@@ -130,16 +133,15 @@ def _tokens(spark, sf):
 @query("separator_hints", f"""WITH {MESSY_SQL} SELECT 6 AS index, 'Codes' AS "column", ';' AS list_separator,
   string_agg(DISTINCT '/', ' ') AS also FROM clean WHERE contains("Codes", '/')""")
 def _hints(spark, sf):
-    seen = counts(spark, sf)
-    votes = P._scalar_votes(seen)
-    return P.separator_hints(votes, P.list_separator(seen, votes)).withColumn("also", F.array_join("also", " "))
+    steps = stages(spark, sf)
+    return P.separator_hints(steps.votes, steps.separators).withColumn("also", F.array_join("also", " "))
 
 
 @query("unit_detection", """SELECT * FROM (VALUES (0, 'Order Nr', NULL, FALSE), (1, 'Status', NULL, FALSE), (2, 'Priority', NULL, FALSE),
  (3, 'Betrag (EUR)', 'eur', FALSE), (4, 'Menge', 'gb', FALSE), (5, 'Datum', NULL, FALSE), (6, 'Codes', NULL, FALSE), (8, 'Team', NULL, FALSE)) u(index, "column", unit, mixed_units)
 WHERE (SELECT COUNT(*) FROM orders) > 0""")
 def _unit(spark, sf):
-    return P.detect_unit(P._scalar_votes(counts(spark, sf)))
+    return P.detect_unit(P.cell_votes(counts(spark, sf)))
 
 
 PROFILE_SQL = f"""WITH {MESSY_SQL}, fill AS (SELECT index, "column", COUNT(*) AS total, COUNT(value) AS filled, COUNT(value) / COUNT(*) AS fill_rate FROM cells GROUP BY 1, 2),
@@ -153,7 +155,7 @@ FROM fill LEFT JOIN d USING (index) JOIN (VALUES (0, 'order_nr', 'integer', NULL
 
 @query("kind_classification", PROFILE_SQL)
 def _profile(spark, sf):
-    return P.profile_columns(counts(spark, sf))
+    return stages(spark, sf).profile
 
 
 CLUSTERS_SQL = """small AS (SELECT index FROM tokens GROUP BY 1 HAVING COUNT(*) <= 40 AND MAX(length(value)) <= 60),
@@ -192,14 +194,14 @@ def _canonical(spark, sf):
  best AS (SELECT "column", cluster, value AS canonical FROM k QUALIFY row_number() OVER (PARTITION BY "column", cluster ORDER BY n DESC, length(value), value DESC) = 1)
 SELECT "column", value, n, trim(regexp_replace(lower(canonical), '[^a-z0-9]+', '_', 'g'), '_') AS code FROM k JOIN best USING ("column", cluster)""")
 def _value_map(spark, sf):
-    seen = counts(spark, sf)
-    return P.propose_value_map(P.profile_columns(seen), P.token_counts(seen, P.list_separator(seen)))
+    steps = stages(spark, sf)
+    return P.propose_value_map(steps.profile, steps.tokens)
 
 
 @query("column_pick", """SELECT 'id' AS role, 'Order Nr' AS "column" FROM orders HAVING COUNT(*) = COUNT(DISTINCT o_orderkey)
 UNION ALL SELECT 'group', 'Team' FROM orders HAVING COUNT(*) FILTER (WHERE o_totalprice >= 20000) >= 0.9 * COUNT(*)""")
 def _pick(spark, sf):
-    profile = P.profile_columns(counts(spark, sf))
+    profile = stages(spark, sf).profile
     return (P.pick_column(profile, "id").withColumn("role", F.lit("id"))
             .unionByName(P.pick_column(profile, "group").withColumn("role", F.lit("group"))))
 
@@ -219,7 +221,8 @@ def _saturation(spark, sf):
   WHEN 2 THEN '5 value(s) appear in several spellings' WHEN 6 THEN 'other separators also appear' WHEN 7 THEN 'column is completely empty' ELSE '' END AS hints,
   index, \"column\", field,"""))
 def _report(spark, sf):
-    return P.profile_report(counts(spark, sf)).withColumn("hints", F.array_join("hints", ", "))
+    steps = stages(spark, sf)
+    return P.profile_report(steps.counts, steps).withColumn("hints", F.array_join("hints", ", "))
 
 
 @query("schema_derivation", f"""WITH {MESSY_SQL}
@@ -228,9 +231,8 @@ SELECT 'state' AS field, 'string' AS type, (SELECT string_agg(DISTINCT value, '|
 UNION ALL SELECT 'amount', 'double', '' UNION ALL SELECT 'day', 'string', ''
 UNION ALL SELECT 'codes', 'array<string>', (SELECT string_agg(DISTINCT value, '|' ORDER BY value) FROM (SELECT value FROM tokens WHERE index = 6 UNION ALL SELECT 'unknown'))""")
 def _schema(spark, sf):
-    seen = counts(spark, sf)
-    split = P.token_counts(seen, P.list_separator(seen))
-    derived = P.derive_schema(P.profile_columns(seen), split, {"Status": "state", "Betrag (EUR)": "amount", "Datum": "day", "Codes": "codes"},
+    steps = stages(spark, sf)
+    derived = P.derive_schema(steps.profile, steps.tokens, {"Status": "state", "Betrag (EUR)": "amount", "Datum": "day", "Codes": "codes"},
                               {"state": {"ja": "yes"}})
     rows = [(f.name, f.dataType.simpleString(), "|".join(f.metadata.get("enum", []))) for f in derived.fields]
     return spark.createDataFrame(rows, "field string, type string, codes string")
