@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.known import is_known
 from ..session import cut_lineage
-from .keyed import attach_by_key
+from .keyed import MAX_BROADCAST_ROWS, attach_by_key
 
 
 def clean_edges(edges: DataFrame) -> DataFrame:
@@ -21,31 +21,40 @@ def clean_edges(edges: DataFrame) -> DataFrame:
                                             & is_known(F.col("dst").cast("string"))).distinct()
 
 
+def _at(edges: DataFrame, nodes: DataFrame, end: str) -> DataFrame:
+    """Edges with the columns the node at one end has in ``nodes``.
+
+    Few nodes are broadcast after counting them; many go through the join that
+    keeps hubs in place.
+    """
+    if nodes.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        return edges.join(F.broadcast(nodes), end)
+    degree = edges.groupBy(end).agg(F.count(F.lit(1)).alias("_deg"))
+    return attach_by_key(edges, nodes.join(degree, end), [end], weight="_deg")
+
+
 def _from_source(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges with the columns their source node has in ``nodes`` (src, ...)."""
-    degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    return attach_by_key(edges, nodes.join(degree, "src"), ["src"], weight="_deg")
+    return _at(edges, nodes, "src")
 
 
 def _from_target(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    degree = edges.groupBy("dst").agg(F.count(F.lit(1)).alias("_deg"))
-    return attach_by_key(edges, nodes.join(degree, "dst"), ["dst"], weight="_deg")
+    return _at(edges, nodes, "dst")
 
 
-def trim(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+def trim(edges: DataFrame) -> DataFrame:
     """Drop nodes that nothing enters or nothing leaves, until none is left.
 
     What remains is every ring and the paths between rings.
     """
     before = edges.count()
-    done = 0
-    while before and (rounds is None or done < rounds):
-        alive = edges.select(F.col("src").alias("node")).distinct().join(
-            edges.select(F.col("dst").alias("node")).distinct(), "node", "left_semi")
-        kept = _from_source(edges, alive.select(F.col("node").alias("src")))
-        kept = cut_lineage(_from_target(kept, alive.select(F.col("node").alias("dst"))).select("src", "dst"))
-        after = kept.count()
-        edges, done = kept, done + 1
+    while before:
+        ends = edges.select(F.col("src").alias("node"), F.lit(1).alias("_out"), F.lit(0).alias("_in")).unionAll(
+            edges.select("dst", F.lit(0), F.lit(1)))
+        alive = cut_lineage(ends.groupBy("node").agg(F.max("_out").alias("_out"), F.max("_in").alias("_in"))
+                            .where("_out = 1 AND _in = 1").select("node"))
+        kept = _from_source(edges, alive.withColumnRenamed("node", "src"))
+        edges = cut_lineage(_from_target(kept, alive.withColumnRenamed("node", "dst")).select("src", "dst"))
+        after = edges.count()
         if after == before:
             break
         before = after

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.known import is_known
 from ..functions.numbers import percent
-from ..functions.similarity import closest_by_edits, closest_by_ratio
+from ..functions.similarity import closest_by_edits
 from ..functions.text import UNKNOWN
 from ..schema import (ANNOTATIONS, DATE_SHAPE, ID_SHAPE, SCHEMA_VERSION, VERSION_SHAPE, walk)
 from .keyed import attach_by_key, small_side
@@ -35,63 +35,62 @@ def finding(df: DataFrame, level: str, code, path, message, fix=None) -> DataFra
 
 # ------------------------------------------------------------------ nodes
 
-def _node(path: Column, pattern: str, value: Column, keys: Column | None = None) -> Column:
-    shape = F.substring_index(F.schema_of_variant(value), "<", 1)
-    return F.struct(path.alias("path"), F.lit(pattern).alias("pattern"), shape.alias("shape"),
-                    F.try_variant_get(value, "$", "string").alias("text")
-                    if keys is None else F.lit(None).cast("string").alias("text"),
-                    (F.lit(None).cast("array<string>") if keys is None else keys).alias("keys"))
+_NODES = "array<struct<path:string,pattern:string,value:variant>>"
 
 
-def _keys(value: Column) -> Column:
-    return F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+def _node(path: Column, pattern: str, value: Column) -> Column:
+    return F.struct(path.alias("path"), F.lit(pattern).alias("pattern"), value.alias("value"))
 
 
-def _places(schema: T.StructType, value: Column, path: Column, pattern: str) -> list[Column]:
-    """Array columns that together hold every known place below ``value``."""
+def _places(schema: T.StructType, root: Column, at: str, path: Column | None, pattern: str) -> list[Column]:
+    """Array columns that together hold every known place below ``root``.
+
+    ``at`` is the path from ``root``, so each place is read in one step.
+    """
     single, lists = [], []
     for f in schema.fields:
-        inner = F.try_variant_get(value, f"$.{f.name}", "variant")
-        here = F.concat(path, F.lit(f".{f.name}" if pattern else f.name)) if pattern else F.lit(f.name)
         below = f"{pattern}.{f.name}" if pattern else f.name
+        here = F.lit(below) if path is None else F.concat(path, F.lit(f"{at}.{f.name}"))
+        single.append(_node(here, below, F.try_variant_get(root, f"${at}.{f.name}", "variant")))
         kind = f.dataType
         if isinstance(kind, T.StructType):
-            single.append(F.when(inner.isNotNull(), _node(here, below, inner, _keys(inner))))
-            lists += _places(kind, inner, here, below)
+            lists += _places(kind, root, f"{at}.{f.name}", path, below)
         elif isinstance(kind, T.ArrayType):
-            single.append(F.when(inner.isNotNull(), _node(here, below, inner)))
-            lists.append(F.flatten(F.transform(F.try_variant_get(inner, "$", "array<variant>"),
-                                               _element(kind.elementType, here, f"{below}[]"))))
-        else:
-            single.append(F.when(inner.isNotNull(), _node(here, below, inner)))
+            elements = F.try_variant_get(root, f"${at}.{f.name}", "array<variant>")
+            lists.append(F.flatten(F.transform(elements, _element(kind.elementType, here, f"{below}[]"))))
     return [F.array(*single), *lists]
 
 
 def _element(kind: T.DataType, path: Column, pattern: str) -> Callable[[Column, Column], Column]:
     def places(element: Column, i: Column) -> Column:
         here = F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
-        if isinstance(kind, T.StructType):
-            own = F.array(_node(here, pattern, element, _keys(element)))
-            inside = [F.coalesce(p, F.array().cast(_NODES)) for p in _places(kind, element, here, pattern)]
-            return F.concat(own, *inside)
-        return F.array(_node(here, pattern, element))
+        own = F.array(_node(here, pattern, element))
+        if not isinstance(kind, T.StructType):
+            return own
+        inside = [F.coalesce(p, F.array().cast(_NODES)) for p in _places(kind, element, "", here, pattern)]
+        return F.concat(own, *inside)
     return places
 
 
-_NODES = "array<struct<path:string,pattern:string,shape:string,text:string,keys:array<string>>>"
-
-
 def document_nodes(docs: DataFrame, schema: T.StructType, column: str = "doc") -> DataFrame:
     """One row per place of a document that its schema knows.
 
-    ``keys`` lists the names inside a block, known or not. A narrow plan: one
-    pass over the documents, nothing is shuffled.
+    file, path, pattern, shape, text, and for a block the names inside it,
+    known or not (``keys``). A narrow plan: one pass over the documents,
+    nothing is shuffled.
     """
     root = F.col(column)
-    own = F.array(_node(F.lit(""), "", root, _keys(root)))
-    parts = [F.coalesce(p, F.array().cast(_NODES)) for p in _places(schema, root, F.lit(""), "")]
-    nodes = F.filter(F.concat(own, *parts), lambda n: n.isNotNull())
-    return (docs.where(root.isNotNull()).select("file", F.explode(nodes).alias("n")).select("file", "n.*"))
+    parts = [F.coalesce(p, F.array().cast(_NODES)) for p in _places(schema, root, "", None, "")]
+    nodes = F.filter(F.concat(F.array(_node(F.lit(""), "", root)), *parts), lambda n: n["value"].isNotNull())
+    blocks = {"", *[n.pattern for n in walk(schema) if n.shape == "block"],
+              *[f"{n.pattern}[]" for n in walk(schema) if n.shape == "records"]}
+    rows = docs.where(root.isNotNull()).select("file", F.explode(nodes).alias("n")).select("file", "n.*")
+    is_block = F.col("pattern").isin(*sorted(blocks))
+    shape = F.when(is_block & F.col("keys").isNotNull(), F.lit("OBJECT")).otherwise(
+        F.substring_index(F.schema_of_variant("value"), "<", 1))
+    return (rows.withColumn("keys", F.when(is_block, F.map_keys(F.try_variant_get("value", "$", "map<string,variant>"))))
+            .select("file", "path", "pattern", shape.alias("shape"),
+                    F.when(~is_block, F.try_variant_get("value", "$", "string")).alias("text"), "keys"))
 
 
 def schema_table(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -132,30 +131,67 @@ def check_parse(parsed: DataFrame) -> DataFrame:
     return finding(broken, ERROR, F.col("code"), F.lit(""), message)
 
 
-def check_unknown_fields(nodes: DataFrame, schema: T.StructType, suggest: str = "edits") -> DataFrame:
+def _hit(code, path, message, fix=None) -> Column:
+    wrap = lambda v: v if isinstance(v, Column) else F.lit(v)
+    return F.struct(wrap(code).alias("code"), wrap(path).alias("path"), wrap(message).alias("message"),
+                    wrap(fix).cast("string").alias("fix"))
+
+
+def _unknown_hits(names: Sequence[str]) -> Column:
+    checked = F.col("keys").isNotNull() & ~F.col("open") & F.col("place").isin("block", "records")
+
+    def hit(key: Column) -> Column:
+        where = F.when(F.col("path") == "", key).otherwise(F.concat_ws(".", "path", key))
+        return _hit("structure.unknown-field", where, F.concat(F.lit("unknown field '"), key, F.lit("'")),
+                    F.concat(F.lit("did you mean: "), closest_by_edits(key, names)))
+    return F.when(checked, F.transform(F.array_except("keys", "children"), hit))
+
+
+def _required_hits() -> Column:
+    def hit(key: Column) -> Column:
+        fix = F.when(F.col("path") == "", F.concat(F.lit("every document needs "), key)).otherwise(
+            F.concat("path", F.lit("."), key, F.lit(" is required whenever "), "path", F.lit(" is present")))
+        return _hit("structure.missing-field", F.col("path"),
+                    F.concat(F.lit("missing required field '"), key, F.lit("'")), fix)
+    return F.when(F.col("keys").isNotNull(), F.transform(F.array_except("required", "keys"), hit))
+
+
+def _type_hits() -> Column:
+    fault = type_fault(F.col("shape"), F.col("text"), F.col("kind"), F.col("place"))
+    message = F.concat(_leaf_name(), F.lit(": expected "), F.coalesce("kind", "place"), F.lit(", got "), F.lower("shape"))
+    return F.when((F.col("path") != "") & fault.isNotNull(),
+                  F.array(_hit(F.concat(F.lit("structure."), fault), F.col("path"), message)))
+
+
+def _field_names(schema: T.StructType) -> list[str]:
+    return sorted({n for node in walk(schema) for n in (*node.children, node.name)})
+
+
+def _structure(nodes: DataFrame, schema: T.StructType, *hits: Column) -> DataFrame:
+    none = F.array().cast("array<struct<code:string,path:string,message:string,fix:string>>")
+    found = F.concat(*[F.coalesce(h, none) for h in hits])
+    rows = _known_nodes(nodes, schema).select("file", F.explode(found).alias("h"))
+    return rows.select(F.lit(ERROR).alias("level"), "h.code", "file", "h.path", "h.message", "h.fix")
+
+
+def check_unknown_fields(nodes: DataFrame, schema: T.StructType) -> DataFrame:
     """Keys the schema does not know, at any level, with the closest name."""
-    known = _known_nodes(nodes, schema).where(F.col("keys").isNotNull() & ~F.col("open")
-                                              & F.col("place").isin("block", "records"))
-    rows = known.select("file", "path", "children", F.explode(F.array_except("keys", "children")).alias("_key"))
-    names = sorted({n for node in walk(schema) for n in (*node.children, node.name)})
-    if suggest == "ratio":
-        closest = closest_by_ratio("_key", names)
-    else:
-        closest = closest_by_edits("_key", names)
-    where = F.when(F.col("path") == "", F.col("_key")).otherwise(F.concat_ws(".", "path", "_key"))
-    return finding(rows, ERROR, "structure.unknown-field", where,
-                   F.concat(F.lit("unknown field '"), F.col("_key"), F.lit("'")),
-                   F.concat(F.lit("did you mean: "), closest))
+    return _structure(nodes, schema, _unknown_hits(_field_names(schema)))
 
 
 def check_required(nodes: DataFrame, schema: T.StructType) -> DataFrame:
     """Required keys missing from the root or from a block that is present."""
-    known = _known_nodes(nodes, schema).where(F.col("keys").isNotNull() & (F.size("required") > 0))
-    rows = known.select("file", "path", F.explode(F.array_except("required", "keys")).alias("_key"))
-    fix = F.when(F.col("path") == "", F.concat(F.lit("every document needs "), F.col("_key"))).otherwise(
-        F.concat("path", F.lit("."), "_key", F.lit(" is required whenever "), "path", F.lit(" is present")))
-    return finding(rows, ERROR, "structure.missing-field", F.col("path"),
-                   F.concat(F.lit("missing required field '"), F.col("_key"), F.lit("'")), fix)
+    return _structure(nodes, schema, _required_hits())
+
+
+def check_types(nodes: DataFrame, schema: T.StructType) -> DataFrame:
+    """Type, pattern, constant and minimum, by the kind of each field."""
+    return _structure(nodes, schema, _type_hits())
+
+
+def check_structure(nodes: DataFrame, schema: T.StructType) -> DataFrame:
+    """The three checks above in one pass."""
+    return _structure(nodes, schema, _unknown_hits(_field_names(schema)), _required_hits(), _type_hits())
 
 
 def type_fault(shape: Column, text: Column, kind: Column, place: Column) -> Column:
@@ -177,16 +213,6 @@ def type_fault(shape: Column, text: Column, kind: Column, place: Column) -> Colu
              .otherwise(scalar))
 
 
-def check_types(nodes: DataFrame, schema: T.StructType) -> DataFrame:
-    """Type, pattern, constant and minimum, by the kind of each field."""
-    known = _known_nodes(nodes, schema).where(F.col("path") != "")
-    fault = type_fault(F.col("shape"), F.col("text"), F.col("kind"), F.col("place"))
-    rows = known.withColumn("_fault", fault).where(F.col("_fault").isNotNull())
-    name = F.regexp_replace(F.substring_index("path", ".", -1), r"\[\d+\]$", "")
-    return finding(rows, ERROR, F.concat(F.lit("structure."), "_fault"), F.col("path"),
-                   F.concat(name, F.lit(": expected "), F.coalesce("kind", "place"), F.lit(", got "), F.lower("shape")))
-
-
 def coded_leaves(nodes: DataFrame, schema: T.StructType) -> DataFrame:
     """Known text values that must be a code or exist elsewhere."""
     return (_known_nodes(nodes, schema)
@@ -199,27 +225,32 @@ def _leaf_name(path: str = "path") -> Column:
     return F.regexp_replace(F.substring_index(path, ".", -1), r"\[\d+\]$", "")
 
 
-def check_codes(leaves: DataFrame, dims: DataFrame, options: dict[str, Sequence[str]] | None = None) -> DataFrame:
+def check_lists(leaves: DataFrame, dims: DataFrame, source: str | None = None) -> DataFrame:
+    """Values that are in neither their taxonomy group nor their reference
+    list. Both are anti joins against the same dimension, in one pass."""
+    wanted = F.array_compact(F.array(
+        F.when(F.col("taxonomy").isNotNull(), F.struct(F.lit("taxonomy").alias("source"), F.col("taxonomy").alias("group"))),
+        F.when(F.col("ref").isNotNull() & (F.col("ref") != "projects"),
+               F.struct(F.lit("reference").alias("source"), F.col("ref").alias("group")))))
+    rows = leaves.select("file", "path", "value", F.explode(wanted).alias("w")).select("file", "path", "value", "w.*")
+    codes = dims.select("source", "group", F.col("code").alias("value"))
+    if source:
+        rows, codes = rows.where(F.col("source") == source), codes.where(F.col("source") == source)
+    rows = rows.join(small_side(codes), ["source", "group", "value"], "left_anti")
+    coded = F.col("source") == "taxonomy"
+    return finding(rows, ERROR, F.when(coded, F.lit("ref.unknown-code")).otherwise(F.concat(F.lit("ref.unknown-"), "group")),
+                   F.col("path"), F.concat(_leaf_name(), F.lit(": '"), "value", F.when(coded, F.lit("' is not a known code"))
+                                           .otherwise(F.concat(F.lit("' is not in "), "group"))))
+
+
+def check_codes(leaves: DataFrame, dims: DataFrame) -> DataFrame:
     """Values that are no code of their group; lists element by element."""
-    codes = dims.where(F.col("source") == "taxonomy").select(F.col("group").alias("taxonomy"),
-                                                             F.col("code").alias("value"))
-    rows = leaves.where(F.col("taxonomy").isNotNull()).join(small_side(codes), ["taxonomy", "value"], "left_anti")
-    fix = F.lit(None)
-    if options:
-        fix = F.coalesce(*[F.when(F.col("taxonomy") == g, F.concat(F.lit("did you mean: "), closest_by_edits("value", o)))
-                           for g, o in sorted(options.items())])
-    return finding(rows, ERROR, "ref.unknown-code", F.col("path"),
-                   F.concat(_leaf_name(), F.lit(": '"), "value", F.lit("' is not a known code")), fix)
+    return check_lists(leaves, dims, "taxonomy")
 
 
 def check_references(leaves: DataFrame, dims: DataFrame, ids: DataFrame) -> DataFrame:
     """Values missing from a reference list, or naming no existing document."""
-    lists = dims.where(F.col("source") == "reference").select(F.col("group").alias("ref"), F.col("code").alias("value"))
-    named = leaves.where(F.col("ref").isNotNull() & (F.col("ref") != "projects"))
-    rows = named.join(small_side(lists), ["ref", "value"], "left_anti")
-    unknown = finding(rows, ERROR, F.concat(F.lit("ref.unknown-"), "ref"), F.col("path"),
-                      F.concat(_leaf_name(), F.lit(": '"), "value", F.lit("' is not in "), "ref"))
-    return unknown.unionByName(check_dangling(leaves, ids))
+    return check_lists(leaves, dims, "reference").unionByName(check_dangling(leaves, ids))
 
 
 def check_dangling(leaves: DataFrame, ids: DataFrame) -> DataFrame:
@@ -246,6 +277,13 @@ def check_duplicate_ids(ids: DataFrame) -> DataFrame:
                    F.concat(F.lit("project id '"), "id", F.lit("' is also used by "), "_first"))
 
 
+def check_documents(docs: DataFrame, schema: T.StructType, dims: DataFrame, ids: DataFrame) -> DataFrame:
+    """Structure, codes and references: three passes over the documents."""
+    nodes = document_nodes(docs, schema)
+    leaves = coded_leaves(nodes, schema)
+    return union_findings(check_structure(nodes, schema), check_lists(leaves, dims), check_dangling(leaves, ids))
+
+
 # ---------------------------------------------------------------- reports
 
 def level_order(level="level") -> Column:

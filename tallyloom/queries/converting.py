@@ -27,7 +27,7 @@ VALUE_MAP = {
 # What the value map makes of a priority: exact spelling, then its letters.
 ENGINES_SQL = """CASE regexp_replace(lower("Priority"), '[^a-z0-9]+', '', 'g') WHEN '1urgent' THEN ['db2', 'redis'] WHEN '2high' THEN ['mssql']
   WHEN '4notspecified' THEN [] ELSE ["Priority"] END"""
-ROLES_SQL = """list_transform(string_split("Codes", ';'), x -> trim(x))"""
+ROLES_SQL = """string_split("Codes", '; ')"""
 
 
 @query("slugify", """SELECT p_partkey, trim(regexp_replace(lower(p_name || ' ' || p_type || '#' || p_brand), '[^a-z0-9]+', '-', 'g'), '-') AS slug,

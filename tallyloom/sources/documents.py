@@ -42,7 +42,7 @@ class _Refused(Exception):
 def _plain(node):
     """A plain scalar by the YAML 1.2 core rules; dates stay text."""
     text = node.value
-    if node.style is not None:
+    if node.style in ("'", '"', "|", ">"):
         return text
     if _NULL.match(text):
         return None
