@@ -79,8 +79,9 @@ def flatten_children(docs: DataFrame, path: str, columns: Sequence[tuple[str, st
     paths = Paths(docs, column)
     items = paths.items(path) if items is None else items
     base = docs.select(F.coalesce(paths.text("id"), F.lit("")).alias("project_id"), items.alias("_items"))
-    explode = F.posexplode_outer if placeholder else F.posexplode
-    rows = base.select("project_id", explode("_items").alias("idx", "_item"))
+    rows = base.select("project_id", F.posexplode_outer("_items").alias("idx", "_item"))
+    if not placeholder:
+        rows = rows.where(F.col("idx").isNotNull())
     values = [_reader(kind)(paths.inside(F.col("_item"), below)).alias(name) for name, below, kind in columns]
     out = [F.col("project_id"), F.coalesce(F.col("idx").cast("bigint"), F.lit(0)).alias("idx"), *values]
     if placeholder:
@@ -115,7 +116,7 @@ def flatten_edges(docs: DataFrame, path: str = "integration.depends_on", column:
     """One row per edge; unknown targets go, positions stay."""
     paths = Paths(docs, column)
     base = docs.select(F.coalesce(paths.text("id"), F.lit("")).alias("project_id"), paths.texts(path).alias("_t"))
-    return (base.select("project_id", F.posexplode("_t").alias("idx", "to_project"))
+    return (base.select("project_id", F.posexplode_outer("_t").alias("idx", "to_project"))
             .where(is_known("to_project"))
             .select("project_id", F.col("idx").cast("bigint").alias("idx"),
                     F.col("project_id").alias("from_project"), "to_project"))

@@ -59,7 +59,8 @@ class Rules:
         ddl = "level string, code string, file string, path string, message string, fix string"
         out = docs.sparkSession.createDataFrame(crashed, ddl)
         if hits:
-            found = docs.select("file", F.explode(F.array_compact(F.array(*hits))).alias("r"))
+            found = (docs.select("file", F.explode_outer(F.array_compact(F.array(*hits))).alias("r"))
+                     .where(F.col("r").isNotNull()))
             out = found.select("r.level", "r.code", "file", "r.path", "r.message",
                                F.lit(None).cast("string").alias("fix")).unionByName(out)
         return out.select(*FINDING)

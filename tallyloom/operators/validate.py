@@ -35,11 +35,23 @@ def finding(df: DataFrame, level: str, code, path, message, fix=None) -> DataFra
 
 # ------------------------------------------------------------------ nodes
 
-_NODES = "array<struct<path:string,pattern:string,value:variant>>"
+_NODES = "array<struct<path:string,pattern:string,shape:string,text:string,keys:array<string>>>"
 
 
-def _node(path: Column, pattern: str, value: Column) -> Column:
-    return F.struct(path.alias("path"), F.lit(pattern).alias("pattern"), value.alias("value"))
+def _node(path: Column, pattern: str, root: Column, at: str, block: bool) -> Column:
+    """Shape, text and keys of the value at ``at`` below ``root``. No part of
+    the document itself travels with the row."""
+    if block:
+        keys = F.map_keys(F.try_variant_get(root, at, "map<string,variant>"))
+        text = F.lit(None).cast("string")
+        whole = F.when(keys.isNotNull(), F.lit("OBJECT"))
+        shape = F.coalesce(whole, F.schema_of_variant(F.try_variant_get(root, at, "variant")))
+    else:
+        keys = F.lit(None).cast("array<string>")
+        text = F.try_variant_get(root, at, "string")
+        shape = F.schema_of_variant(F.try_variant_get(root, at, "variant"))
+    return F.struct(path.alias("path"), F.lit(pattern).alias("pattern"), shape.alias("shape"),
+                    text.alias("text"), keys.alias("keys"))
 
 
 def _places(schema: T.StructType, root: Column, at: str, path: Column | None, pattern: str) -> list[Column]:
@@ -51,8 +63,8 @@ def _places(schema: T.StructType, root: Column, at: str, path: Column | None, pa
     for f in schema.fields:
         below = f"{pattern}.{f.name}" if pattern else f.name
         here = F.lit(below) if path is None else F.concat(path, F.lit(f"{at}.{f.name}"))
-        single.append(_node(here, below, F.try_variant_get(root, f"${at}.{f.name}", "variant")))
         kind = f.dataType
+        single.append(_node(here, below, root, f"${at}.{f.name}", isinstance(kind, T.StructType)))
         if isinstance(kind, T.StructType):
             lists += _places(kind, root, f"{at}.{f.name}", path, below)
         elif isinstance(kind, T.ArrayType):
@@ -64,7 +76,7 @@ def _places(schema: T.StructType, root: Column, at: str, path: Column | None, pa
 def _element(kind: T.DataType, path: Column, pattern: str) -> Callable[[Column, Column], Column]:
     def places(element: Column, i: Column) -> Column:
         here = F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
-        own = F.array(_node(here, pattern, element))
+        own = F.array(_node(here, pattern, element, "$", isinstance(kind, T.StructType)))
         if not isinstance(kind, T.StructType):
             return own
         inside = [F.coalesce(p, F.array().cast(_NODES)) for p in _places(kind, element, "", here, pattern)]
@@ -81,16 +93,11 @@ def document_nodes(docs: DataFrame, schema: T.StructType, column: str = "doc") -
     """
     root = F.col(column)
     parts = [F.coalesce(p, F.array().cast(_NODES)) for p in _places(schema, root, "", None, "")]
-    nodes = F.filter(F.concat(F.array(_node(F.lit(""), "", root)), *parts), lambda n: n["value"].isNotNull())
-    blocks = {"", *[n.pattern for n in walk(schema) if n.shape == "block"],
-              *[f"{n.pattern}[]" for n in walk(schema) if n.shape == "records"]}
-    rows = docs.where(root.isNotNull()).select("file", F.explode(nodes).alias("n")).select("file", "n.*")
-    is_block = F.col("pattern").isin(*sorted(blocks))
-    shape = F.when(is_block & F.col("keys").isNotNull(), F.lit("OBJECT")).otherwise(
-        F.substring_index(F.schema_of_variant("value"), "<", 1))
-    return (rows.withColumn("keys", F.when(is_block, F.map_keys(F.try_variant_get("value", "$", "map<string,variant>"))))
-            .select("file", "path", "pattern", shape.alias("shape"),
-                    F.when(~is_block, F.try_variant_get("value", "$", "string")).alias("text"), "keys"))
+    nodes = F.filter(F.concat(F.array(_node(F.lit(""), "", root, "$", True)), *parts), lambda n: n["shape"].isNotNull())
+    # The outer form keeps Spark from testing the size of the list first, which
+    # would read every document twice.
+    rows = docs.select("file", F.explode_outer(nodes).alias("n")).where(F.col("n").isNotNull())
+    return rows.select("file", "n.path", "n.pattern", F.substring_index("n.shape", "<", 1).alias("shape"), "n.text", "n.keys")
 
 
 def schema_table(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -170,7 +177,7 @@ def _field_names(schema: T.StructType) -> list[str]:
 def _structure(nodes: DataFrame, schema: T.StructType, *hits: Column) -> DataFrame:
     none = F.array().cast("array<struct<code:string,path:string,message:string,fix:string>>")
     found = F.concat(*[F.coalesce(h, none) for h in hits])
-    rows = _known_nodes(nodes, schema).select("file", F.explode(found).alias("h"))
+    rows = _known_nodes(nodes, schema).select("file", F.explode_outer(found).alias("h")).where(F.col("h").isNotNull())
     return rows.select(F.lit(ERROR).alias("level"), "h.code", "file", "h.path", "h.message", "h.fix")
 
 
