@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,55 +72,94 @@ def _odd_quotes(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
 
+def _lines(spark: SparkSession, directory: str) -> DataFrame:
+    return (spark.read.option("pathGlobFilter", "*.csv").text(directory)
+            .select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"),
+                    F.col("_metadata.file_block_start").alias("start"), "value")
+            .where(~F.col("file").isin(*OUTPUT_NAMES)).withColumn("at", F.monotonically_increasing_id()))
+
+
 def file_votes(spark: SparkSession, directory: str) -> DataFrame:
     """Per file: do all lines decode, is any quote left open at a line end."""
-    lines = (spark.read.option("pathGlobFilter", "*.csv").text(directory)
-             .select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"), "value"))
     latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    return lines.groupBy("file", "path").agg(
+    return _lines(spark, directory).groupBy("file", "path").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
         F.bool_or(latin.rlike(f"[{_NOT_CP1252}]")).alias("latin_only"),
-        F.bool_or(_odd_quotes(latin)).alias("multiline"), F.count(F.lit(1)).alias("lines"))
+        F.bool_or(_odd_quotes(latin)).alias("multiline"),
+        F.min(F.when(F.col("start") == 0, F.col("at"))).alias("first"))
+
+
+_FOUND_DDL = ("file string, path string, encoding string, delimiter string, multiline boolean, header_row int, "
+              "header_line int, exact boolean, key_header string, header array<string>, problem string")
+
+
+def _inspect(key: str):
+    """Dialect of each file from its first lines; one small list per file."""
+    def look(batches):
+        for batch in batches:
+            found = []
+            for r in batch.itertuples(index=False):
+                encoding = "utf-8-sig" if r.utf8 else ("latin-1" if r.latin_only else "cp1252")
+                lines = [bytes(v).decode(encoding, "replace") for v in r.lines]
+                delimiter = sniff_delimiter("\n".join(lines)[:SNIFF_CHARS])
+                rows = list(csv.reader([f"{line}\n" for line in lines], delimiter=delimiter))
+                place = locate_header(rows, key)
+                if place is None:
+                    seen = ", ".join(rows[0][:12]) if rows else "(file is empty)"
+                    found.append((r.file, r.path, encoding, delimiter, r.multiline, None, None, None, None, None,
+                                  f"{r.file}: no column named {key!r}, columns found: {seen}"))
+                    continue
+                at, exact = place
+                header = [c.strip() for c in rows[at]]
+                while header and not header[-1]:
+                    header.pop()
+                key_header = next(c for c in header if c == key or _norm(c) == _norm(key))
+                blank = sum(1 for row in rows[:at] if not "".join(row).strip())
+                found.append((r.file, r.path, encoding, delimiter, r.multiline, at - blank, at + 1, exact,
+                              key_header, header, None))
+            yield pd.DataFrame(found, columns=[c.split()[0] for c in _FOUND_DDL.split(", ")])
+    return look
 
 
 def detect_dialects(spark: SparkSession, directory: str, key: str) -> list[Dialect]:
-    """One dialect per source file: metadata of a directory listing."""
-    votes = [r for r in file_votes(spark, directory).collect() if r["file"] not in OUTPUT_NAMES]
-    if not votes:
+    """One dialect per source file. Only these few facts reach the driver."""
+    votes = file_votes(spark, directory)
+    heads = (_lines(spark, directory).where(F.col("start") == 0)
+             .join(votes.select("file", "path", "first"), ["file", "path"])
+             .where(F.col("at") - F.col("first") < 4 * HEADER_SEARCH_ROWS)
+             .groupBy("file", "path").agg(F.array_sort(F.collect_list(F.struct("at", F.col("value").cast("binary").alias("v")))).alias("l"))
+             .select("file", "path", F.transform("l", lambda x: x["v"]).alias("lines")))
+    rows = (votes.drop("first").join(heads, ["file", "path"])
+            .mapInPandas(_inspect(key), _FOUND_DDL).collect())
+    if not rows:
         raise FileNotFoundError(f"no source CSVs in {directory}")
-    ranks, out, problems = rank_names([r["file"] for r in votes]), [], []
-    for r in sorted(votes, key=lambda r: r["file"]):
-        encoding = "utf-8-sig" if r["utf8"] else ("latin-1" if r["latin_only"] else "cp1252")
-        head = spark.read.text(r["path"]).select(F.col("value").cast("binary")).take(4 * HEADER_SEARCH_ROWS)
-        lines = [bytes(h[0] or b"").decode(encoding, "replace") for h in head]
-        delimiter = sniff_delimiter("\n".join(lines)[:SNIFF_CHARS])
-        rows = list(csv.reader([f"{line}\n" for line in lines], delimiter=delimiter))
-        found = locate_header(rows, key)
-        if found is None:
-            problems.append(f"{r['file']}: no column named {key!r}, "
-                            f"columns found: {', '.join(rows[0][:12]) if rows else '(file is empty)'}")
-            continue
-        at, exact = found
-        header = [c.strip() for c in rows[at]]
-        while header and not header[-1]:
-            header.pop()
-        key_header = next(c for c in header if c == key or _norm(c) == _norm(key))
-        blank = sum(1 for row in rows[:at] if not "".join(row).strip())
-        out.append(Dialect(r["file"], r["path"], ranks[r["file"]], encoding, delimiter, r["multiline"],
-                           at - blank, at + 1, exact, key_header, tuple(header)))
+    problems = sorted(r["problem"] for r in rows if r["problem"])
     if problems:
         raise ValueError("\n".join(problems))
-    return out
+    ranks = rank_names([r["file"] for r in rows])
+    return [Dialect(r["file"], r["path"], ranks[r["file"]], r["encoding"], r["delimiter"], r["multiline"], r["header_row"],
+                    r["header_line"], r["exact"], r["key_header"], tuple(r["header"]))
+            for r in sorted(rows, key=lambda r: r["file"])]
 
 
-def read_extract(spark: SparkSession, d: Dialect) -> DataFrame:
-    """One source as trimmed text: ``_rank, _file, _row`` and its columns."""
+def read_dialect(spark: SparkSession, files: list[Dialect]) -> DataFrame:
+    """Files of one dialect as trimmed text: ``_rank, _file, _row``, columns.
+
+    ``_row`` orders the rows of a file: where its split starts, then the place
+    in the split.
+    """
+    d = files[0]
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(d.header))])
     raw = (spark.read.schema(schema).option("sep", d.delimiter).option("quote", '"').option("escape", '"')
            .option("encoding", "UTF-8" if d.encoding.startswith("utf") else "ISO-8859-1")
-           .option("multiLine", d.multiline).csv(d.path))
-    # One file is read in order: ids grow with the place in it.
-    rows = raw.withColumn("_row", F.monotonically_increasing_id()).where(F.col("_row") > d.header_row)
+           .option("header", d.header_row == 0).option("multiLine", d.multiline).csv([f.path for f in files]))
+    at = F.monotonically_increasing_id()
+    start = F.col("_metadata.file_block_start").cast("decimal(19,0)")
+    rows = raw.select("*", F.col("_metadata.file_name").alias("_file"), at.alias("_at"),
+                      (start * F.lit("9223372036854775808").cast("decimal(19,0)") + at).cast("decimal(38,0)").alias("_row"))
+    if d.header_row:
+        # A file with a title is read alone: ids count its records from 0.
+        rows = rows.where(F.col("_at") > d.header_row)
     cells: dict[str, Column] = {}
     for i, name in enumerate(d.header):
         cell = F.coalesce(F.col(f"_c{i}"), F.lit(""))
@@ -131,8 +171,10 @@ def read_extract(spark: SparkSession, d: Dialect) -> DataFrame:
     filled = F.lit(False)
     for c in schema.names:
         filled = filled | (strip(F.coalesce(F.col(c), F.lit(""))) != "")
-    return rows.where(filled).select(F.lit(d.rank).alias("_rank"), F.lit(d.file).alias("_file"), "_row",
-                                     *[c.alias(n) for n, c in cells.items()])
+    # One row per file of the listing.
+    ranks = spark.createDataFrame([(f.file, f.rank) for f in files], "_file string, _rank int")
+    return (rows.where(filled).join(F.broadcast(ranks), "_file")
+            .select("_rank", "_file", "_row", *[c.alias(n) for n, c in cells.items()]))
 
 
 def read_extracts(spark: SparkSession, directory: str, key: str) -> DataFrame:
@@ -140,13 +182,20 @@ def read_extracts(spark: SparkSession, directory: str, key: str) -> DataFrame:
 
     A file that spells the key column differently still fills ``key``.
     """
+    dialects = detect_dialects(spark, directory, key)
+    # Files that look alike are one read; a file with a title is its own.
+    alike: dict[tuple, list[Dialect]] = {}
+    for d in dialects:
+        own = d.path if d.header_row else ""
+        alike.setdefault((d.encoding, d.delimiter, d.multiline, d.header, own), []).append(d)
     stacked = None
-    for d in detect_dialects(spark, directory, key):
-        part = read_extract(spark, d)
-        if d.key_header != key:
-            part = part.withColumnRenamed(d.key_header, key)
+    for files in alike.values():
+        part = read_dialect(spark, files)
+        if files[0].key_header != key:
+            part = part.withColumnRenamed(files[0].key_header, key)
         stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
-    return stacked
+    columns = list(dict.fromkeys(key if h == d.key_header else h for d in dialects for h in d.header if h))
+    return stacked.select("_rank", "_file", "_row", *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
 
 
 def extract_headers(spark: SparkSession, dialects: list[Dialect]) -> DataFrame:
