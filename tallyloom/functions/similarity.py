@@ -17,12 +17,15 @@ SUGGESTION_RATIO = 0.6
 MAX_LENGTH_GAP = 6
 
 
-@F.pandas_udf("double")
-def match_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def match_ratio(a, b) -> Column:
     """Share of matching characters, 0 to 1 (longest matching blocks)."""
-    return pd.Series([None if x is None or y is None
-                      else difflib.SequenceMatcher(None, x, y).ratio()
-                      for x, y in zip(a, b)], dtype="float64")
+    @F.pandas_udf("double")
+    def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None
+                          else difflib.SequenceMatcher(None, x, y).ratio()
+                          for x, y in zip(left, right)], dtype="float64")
+
+    return ratio(col(a), col(b))
 
 
 def edit_similarity(a, b) -> Column:

@@ -13,10 +13,6 @@ from ..schema import CHILD_TABLES, project_schema
 from ..sources.documents import json_documents, parse_documents, positions
 from .registry import query, table
 
-STATUS, PRIORITY, PRICE = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
-PAID, FILLED, OPEN = STATUS == "P", STATUS == "F", STATUS == "O"
-
-
 def _literal(*cases: tuple[Column, Column], otherwise: Column | None = None) -> Column:
     """A JSON value whose type differs from row to row."""
     out = None
@@ -27,52 +23,54 @@ def _literal(*cases: tuple[Column, Column], otherwise: Column | None = None) ->
 
 def order_documents(spark: SparkSession, sf: str) -> DataFrame:
     """One document per order, with every kind of fault the checks look for."""
+    status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
+    paid, filled, is_open = status == "P", status == "F", status == "O"
     key = F.col("o_orderkey").cast("string")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     environments = F.array(
-        F.struct(F.when(PRIORITY == "1-URGENT", F.lit("prod")).otherwise(F.lit("test")).alias("name"),
+        F.struct(F.when(priority == "1-URGENT", F.lit("prod")).otherwise(F.lit("test")).alias("name"),
                  F.lit("A").alias("datacenter"),
                  F.struct(F.lit("O").alias("family"),
-                          _literal((PRICE < 100000, F.lit("7.9")), otherwise=F.lit('"7.9"')).alias("version"),
+                          _literal((price < 100000, F.lit("7.9")), otherwise=F.lit('"7.9"')).alias("version"),
                           F.lit("2026-01-01").alias("eol")).alias("os")),
         F.struct(F.lit(None).cast("string").alias("name"), F.lit("Q").alias("datacenter"),
                  F.lit(None).cast("struct<family:string,version:variant,eol:string>").alias("os")))
     datastores = F.array(
-        F.struct(PRIORITY.alias("engine"), F.lit("7.9").alias("version"), F.lit(None).cast("string").alias("role")),
+        F.struct(priority.alias("engine"), F.lit("7.9").alias("version"), F.lit(None).cast("string").alias("role")),
         F.struct(F.lit("unknown").alias("engine"), F.lit(None).cast("string").alias("version"), F.lit("x").alias("role")))
     opened = F.struct(F.concat(F.lit("B-"), key).alias("id"), F.lit("open").alias("status"))
     closed = F.struct(F.lit(None).cast("string").alias("id"), F.lit("closed").alias("status"))
     targets = F.array_compact(F.array(
         F.concat(F.lit("o-"), (F.col("o_orderkey") + 1).cast("string")), F.lit("unknown"),
-        F.when(PRIORITY == "3-MEDIUM", F.concat(F.lit("c-"), F.col("o_custkey").cast("string")))))
-    low = PRIORITY == "5-LOW"
+        F.when(priority == "3-MEDIUM", F.concat(F.lit("c-"), F.col("o_custkey").cast("string")))))
+    low = priority == "5-LOW"
     doc = F.struct(
-        F.when(FILLED & (PRICE > 450000), 2).when(~(OPEN & (PRICE > 450000)), 1).alias("schema_version"),
+        F.when(filled & (price > 450000), 2).when(~(is_open & (price > 450000)), 1).alias("schema_version"),
         F.concat(F.lit("o-"), key).alias("id"),
-        F.when(FILLED, F.lit("unknown")).otherwise(PRIORITY).alias("name"),
-        F.struct(F.concat(F.lit("team-"), STATUS).alias("team_id")).alias("ownership"),
-        F.struct(F.when(low, F.lit("S1")).alias("secrutiy_class"), F.when(~low, PRIORITY).alias("security_class")).alias("classification"),
-        F.when(~FILLED, F.struct(
-            F.when(OPEN, F.lit("R")).when(PRICE < 50000, F.lit("A")).alias("datacenter"),
-            F.when(PAID, environments).alias("environments"))).alias("placement"),
+        F.when(filled, F.lit("unknown")).otherwise(priority).alias("name"),
+        F.struct(F.concat(F.lit("team-"), status).alias("team_id")).alias("ownership"),
+        F.struct(F.when(low, F.lit("S1")).alias("secrutiy_class"), F.when(~low, priority).alias("security_class")).alias("classification"),
+        F.when(~filled, F.struct(
+            F.when(is_open, F.lit("R")).when(price < 50000, F.lit("A")).alias("datacenter"),
+            F.when(paid, environments).alias("environments"))).alias("placement"),
         F.struct(
-            _literal((PRICE < 20000, F.lit('"unknown"')), (PRICE > 480000, F.lit("-1")),
-                     otherwise=F.floor(PRICE / 1000).cast("string")).alias("cpu_cores"),
-            F.when(PRICE < 100000, 0).otherwise(F.floor(PRICE / 100)).alias("storage_gb"),
-            F.when(PAID, F.array(F.lit("block"), F.lit("file"))).when(OPEN, F.array().cast("array<string>")).alias("storage_classes"),
-            F.when(PRIORITY == "1-URGENT", F.lit("container")).otherwise(F.lit("vm")).alias("deployment_model"),
-            F.when(PAID, F.lit("none")).otherwise(F.lit("full")).alias("containerised")).alias("platform"),
-        F.when(PAID, datastores).when(OPEN, F.slice(datastores, 1, 0)).alias("datastores"),
+            _literal((price < 20000, F.lit('"unknown"')), (price > 480000, F.lit("-1")),
+                     otherwise=F.floor(price / 1000).cast("string")).alias("cpu_cores"),
+            F.when(price < 100000, 0).otherwise(F.floor(price / 100)).alias("storage_gb"),
+            F.when(paid, F.array(F.lit("block"), F.lit("file"))).when(is_open, F.array().cast("array<string>")).alias("storage_classes"),
+            F.when(priority == "1-URGENT", F.lit("container")).otherwise(F.lit("vm")).alias("deployment_model"),
+            F.when(paid, F.lit("none")).otherwise(F.lit("full")).alias("containerised")).alias("platform"),
+        F.when(paid, datastores).when(is_open, F.slice(datastores, 1, 0)).alias("datastores"),
         F.struct(
-            F.when(FILLED, F.lit("migrated")).otherwise(F.lit("planned")).alias("status"),
-            F.when(PRIORITY == "2-HIGH", F.date_format("o_orderdate", "dd.MM.yyyy")).otherwise(day).alias("target_date"),
-            F.when(FILLED, F.array(opened, closed)).when(PAID, F.array(opened)).alias("blockers")).alias("migration"),
+            F.when(filled, F.lit("migrated")).otherwise(F.lit("planned")).alias("status"),
+            F.when(priority == "2-HIGH", F.date_format("o_orderdate", "dd.MM.yyyy")).otherwise(day).alias("target_date"),
+            F.when(filled, F.array(opened, closed)).when(paid, F.array(opened)).alias("blockers")).alias("migration"),
         F.struct(targets.alias("depends_on")).alias("integration"),
-        F.struct(F.when(PRIORITY == "1-URGENT", F.lit("tier-1")).otherwise(F.lit("tier-2")).alias("tier"),
-                 F.floor(PRICE / 1000).alias("rto_hours")).alias("operations"),
+        F.struct(F.when(priority == "1-URGENT", F.lit("tier-1")).otherwise(F.lit("tier-2")).alias("tier"),
+                 F.floor(price / 1000).alias("rto_hours")).alias("operations"),
         F.struct(key.alias("note")).alias("_unmapped"),
-        F.struct(F.when(PAID, F.lit("verified")).otherwise(F.lit("imported")).alias("confidence"),
-                 F.when(PRICE > 250000, day).alias("last_reviewed")).alias("_meta"))
+        F.struct(F.when(paid, F.lit("verified")).otherwise(F.lit("imported")).alias("confidence"),
+                 F.when(price > 250000, day).alias("last_reviewed")).alias("_meta"))
     return table(spark, sf, "orders").select(F.concat(F.lit("o-"), key, F.lit(".json")).alias("file"), F.to_json(doc).alias("body"))
 
 
