@@ -62,14 +62,20 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character that counts as white space, by the Unicode tables.
+WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
 def strip(c) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(WHITE_SPACE))
 
 
 def squeeze(c) -> Column:
     """One blank for each run of white space, trimmed."""
-    return F.trim(F.regexp_replace(col(c), r"(?U)\s+", " "))
+    c = col(c)
+    # Most texts hold single blanks only and need no rewriting.
+    return strip(F.when(c.rlike(r"(?U)\s\s|[^\S ]"), F.regexp_replace(c, r"(?U)\s+", " ")).otherwise(c))
 
 
 def is_blank(c) -> Column:
@@ -82,11 +88,17 @@ def norm_key(c) -> Column:
     return F.replace(F.lower(squeeze(c)), F.lit("ß"), F.lit("ss"))
 
 
+_LONGEST_MARKER = max(map(len, EMPTY_MARKERS))
+
+
 def clean_cell(c) -> Column:
     """Tidy one cell; an empty marker becomes NULL."""
-    tidy = strip(F.regexp_replace(col(c), "[\u00a0\t ]+", " "))
-    tidy = F.regexp_replace(tidy, r"\n{2,}", "\n")
-    return F.when(~F.lower(tidy).isin(*EMPTY_MARKERS), tidy)
+    c = col(c)
+    spaced = strip(F.regexp_replace(c, "[\u00a0\t ]+", " "))
+    tidied = F.regexp_replace(spaced, r"\n{2,}", "\n")
+    tidy = F.when(c.rlike("[\u00a0\t]|  |\n\n"), tidied).otherwise(strip(c))
+    marker = (F.length(c) <= _LONGEST_MARKER) | c.rlike(r"^\s|\s$|[\u00a0\t ]{2}")
+    return F.when(~marker | ~F.lower(tidy).isin(*EMPTY_MARKERS), tidy)
 
 
 def transliterate(c) -> Column:

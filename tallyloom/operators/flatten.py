@@ -23,10 +23,12 @@ def pattern_known(paths: Paths, pattern: str) -> Column:
     head, mark, rest = pattern.partition("[]")
     if not mark:
         if paths.variant:
+            text = paths.text(head)
             kind = F.schema_of_variant(paths.raw(head))
-            return (F.when(kind.startswith("ARRAY"), any_known(paths.texts(head)))
-                     .when(kind.startswith("OBJECT"), kind != "OBJECT<>")
-                     .otherwise(is_known(paths.text(head))))
+            nested = (F.when(kind.startswith("ARRAY"), any_known(paths.texts(head)))
+                      .when(kind.startswith("OBJECT"), kind != "OBJECT<>").otherwise(is_known(text)))
+            # Only what prints like a list or a block is looked at again.
+            return F.when(F.left(text, F.lit(1)).isin("[", "{"), nested).otherwise(is_known(text))
         raw = paths.raw(head)
         return any_known(raw.cast("array<string>")) if paths.is_list(head) else is_known(raw.cast("string"))
     if not rest:

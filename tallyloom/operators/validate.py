@@ -2,13 +2,14 @@
 
     level  code  file  path  message  fix
 
-Documents are taken apart once into the places their schema knows
-(``document_nodes``); the checks are filters over those rows.
+Structure, codes and references are generated from the schema (see
+``apply_checks``); the rest are joins and aggregates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,100 +34,129 @@ def finding(df: DataFrame, level: str, code, path, message, fix=None) -> DataFra
                      wrap(fix).cast("string").alias("fix"))
 
 
-# ------------------------------------------------------------------ nodes
+# ----------------------------------------------------------------- places
+#
+# Checks are generated from the schema: each place gets an expression of its
+# own that gives a finding or NULL, and a document becomes the list of its
+# findings. That is one narrow pass, and only findings become rows.
 
-_NODES = "array<struct<path:string,pattern:string,shape:string,text:string,keys:array<string>>>"
+@dataclass(frozen=True)
+class Place:
+    pattern: str
+    shape: str                    # scalar | block | records | list | any
+    meta: dict
+    children: tuple[str, ...] = ()
+    required: tuple[str, ...] = ()
 
+    @property
+    def name(self) -> str:
+        return self.pattern.split(".")[-1].replace("[]", "")
+
+
+@dataclass(frozen=True)
+class Check:
+    """``make`` gives a struct or NULL for one value, an array if ``many``."""
+
+    ddl: str
+    want: Callable[[Place], bool]
+    make: Callable[[Place, Column, str, Column], Column]
+    many: bool = False
+
+
+def _block(pattern: str, kind: T.StructType, meta: dict) -> Place:
+    needed = tuple(f.name for f in kind.fields if f.metadata.get("required"))
+    return Place(pattern, "block", meta, tuple(kind.names), needed)
+
+
+def _place_of(f: T.StructField, pattern: str) -> Place:
+    kind = f.dataType
+    if isinstance(kind, T.StructType):
+        return _block(pattern, kind, f.metadata)
+    if isinstance(kind, T.ArrayType):
+        return Place(pattern, "records" if isinstance(kind.elementType, T.StructType) else "list", f.metadata)
+    return Place(pattern, "any" if isinstance(kind, T.MapType) else "scalar", f.metadata)
+
+
+def _item_of(f: T.StructField, pattern: str) -> Place:
+    kind = f.dataType.elementType
+    if isinstance(kind, T.StructType):
+        return _block(f"{pattern}[]", kind, {})
+    return Place(f"{pattern}[]", "scalar", f.metadata.get("item", {}))
 
-def _node(path: Column, pattern: str, root: Column, at: str, block: bool) -> Column:
-    """Shape, text and keys of the value at ``at`` below ``root``. No part of
-    the document itself travels with the row."""
-    if block:
-        keys = F.map_keys(F.try_variant_get(root, at, "map<string,variant>"))
-        text = F.lit(None).cast("string")
-        whole = F.when(keys.isNotNull(), F.lit("OBJECT"))
-        shape = F.coalesce(whole, F.schema_of_variant(F.try_variant_get(root, at, "variant")))
-    else:
-        keys = F.lit(None).cast("array<string>")
-        text = F.try_variant_get(root, at, "string")
-        shape = F.schema_of_variant(F.try_variant_get(root, at, "variant"))
-    return F.struct(path.alias("path"), F.lit(pattern).alias("pattern"), shape.alias("shape"),
-                    text.alias("text"), keys.alias("keys"))
 
+def _wanted_inside(f: T.StructField, pattern: str, checks: Sequence[Check]) -> bool:
+    item = _item_of(f, pattern)
+    if any(c.want(item) for c in checks):
+        return True
+    kind = f.dataType.elementType
+    return isinstance(kind, T.StructType) and _wanted_below(kind, item.pattern, checks)
 
-def _places(schema: T.StructType, root: Column, at: str, path: Column | None, pattern: str) -> list[Column]:
-    """Array columns that together hold every known place below ``root``.
+
+def _wanted_below(schema: T.StructType, pattern: str, checks: Sequence[Check]) -> bool:
+    for f in schema.fields:
+        below = f"{pattern}.{f.name}" if pattern else f.name
+        if any(c.want(_place_of(f, below)) for c in checks):
+            return True
+        if isinstance(f.dataType, T.StructType) and _wanted_below(f.dataType, below, checks):
+            return True
+        if isinstance(f.dataType, T.ArrayType) and _wanted_inside(f, below, checks):
+            return True
+    return False
+
+
+def _run(place: Place, root: Column, at: str, path: Column, checks: Sequence[Check], ones: list, lists: list) -> None:
+    for check in checks:
+        if check.want(place):
+            (lists if check.many else ones).append(check.make(place, root, at, path))
+
+
+def _below(schema: T.StructType, root: Column, at: str, path: Column | None, pattern: str,
+           checks: Sequence[Check], ones: list, lists: list) -> None:
+    """Results of the checks for every place below ``root``.
 
     ``at`` is the path from ``root``, so each place is read in one step.
     """
-    single, lists = [], []
     for f in schema.fields:
         below = f"{pattern}.{f.name}" if pattern else f.name
         here = F.lit(below) if path is None else F.concat(path, F.lit(f"{at}.{f.name}"))
-        kind = f.dataType
-        single.append(_node(here, below, root, f"${at}.{f.name}", isinstance(kind, T.StructType)))
-        if isinstance(kind, T.StructType):
-            lists += _places(kind, root, f"{at}.{f.name}", path, below)
-        elif isinstance(kind, T.ArrayType):
+        _run(_place_of(f, below), root, f"${at}.{f.name}", here, checks, ones, lists)
+        if isinstance(f.dataType, T.StructType):
+            _below(f.dataType, root, f"{at}.{f.name}", path, below, checks, ones, lists)
+        elif isinstance(f.dataType, T.ArrayType) and _wanted_inside(f, below, checks):
             elements = F.try_variant_get(root, f"${at}.{f.name}", "array<variant>")
-            lists.append(F.flatten(F.transform(elements, _element(kind.elementType, here, f"{below}[]"))))
-    return [F.array(*single), *lists]
+            lists.append(F.flatten(F.transform(elements, _each(f, below, here, checks))))
 
 
-def _element(kind: T.DataType, path: Column, pattern: str) -> Callable[[Column, Column], Column]:
-    def places(element: Column, i: Column) -> Column:
+def _each(f: T.StructField, pattern: str, path: Column, checks: Sequence[Check]) -> Callable[[Column, Column], Column]:
+    def results(element: Column, i: Column) -> Column:
         here = F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
-        own = F.array(_node(here, pattern, element, "$", isinstance(kind, T.StructType)))
-        if not isinstance(kind, T.StructType):
-            return own
-        inside = [F.coalesce(p, F.array().cast(_NODES)) for p in _places(kind, element, "", here, pattern)]
-        return F.concat(own, *inside)
-    return places
+        ones: list[Column] = []
+        lists: list[Column] = []
+        item = _item_of(f, pattern)
+        _run(item, element, "$", here, checks, ones, lists)
+        if isinstance(f.dataType.elementType, T.StructType):
+            _below(f.dataType.elementType, element, "", here, item.pattern, checks, ones, lists)
+        return _joined(checks, ones, lists)
+    return results
 
 
-def document_nodes(docs: DataFrame, schema: T.StructType, column: str = "doc") -> DataFrame:
-    """One row per place of a document that its schema knows.
+def _joined(checks: Sequence[Check], ones: list, lists: list) -> Column:
+    none = F.array().cast(f"array<{checks[0].ddl}>")
+    found = F.array_compact(F.array(*ones)) if ones else none
+    return F.concat(found, *[F.coalesce(v, none) for v in lists]) if lists else found
 
-    file, path, pattern, shape, text, and for a block the names inside it,
-    known or not (``keys``). A narrow plan: one pass over the documents,
-    nothing is shuffled.
-    """
+
+def apply_checks(docs: DataFrame, schema: T.StructType, *checks: Check, column: str = "doc") -> DataFrame:
+    """Rows of all results: ``file`` and the fields of the result."""
     root = F.col(column)
-    parts = [F.coalesce(p, F.array().cast(_NODES)) for p in _places(schema, root, "", None, "")]
-    nodes = F.filter(F.concat(F.array(_node(F.lit(""), "", root, "$", True)), *parts), lambda n: n["shape"].isNotNull())
+    ones: list[Column] = []
+    lists: list[Column] = []
+    _run(_block("", schema, {}), root, "$", F.lit(""), checks, ones, lists)
+    _below(schema, root, "", None, "", checks, ones, lists)
     # The outer form keeps Spark from testing the size of the list first, which
     # would read every document twice.
-    rows = docs.select("file", F.explode_outer(nodes).alias("n")).where(F.col("n").isNotNull())
-    return rows.select("file", "n.path", "n.pattern", F.substring_index("n.shape", "<", 1).alias("shape"), "n.text", "n.keys")
-
-
-def schema_table(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The schema as rows, one per place."""
-    root = [("", "block", None, None, None, False, list(schema.names),
-             [f.name for f in schema.fields if f.metadata.get("required")])]
-    rows = root + [(n.pattern, n.shape, n.get("kind"), n.get("taxonomy"), n.get("ref"), bool(n.get("open")),
-                    list(n.children), _required(schema, n.pattern)) for n in walk(schema)]
-    return df.sparkSession.createDataFrame(
-        rows, "pattern string, place string, kind string, taxonomy string, ref string, open boolean, "
-              "children array<string>, required array<string>")
-
-
-def _required(schema: T.StructType, pattern: str) -> list[str]:
-    node: T.DataType = schema
-    for step in pattern.split("."):
-        node = node[step.replace("[]", "")].dataType
-        if isinstance(node, T.ArrayType):
-            node = node.elementType
-    return [f.name for f in node.fields if f.metadata.get("required")] if isinstance(node, T.StructType) else []
-
-
-def _known_nodes(nodes: DataFrame, schema: T.StructType) -> DataFrame:
-    table = schema_table(nodes, schema)
-    # Blocks inside lists carry the pattern of the list with its mark.
-    listed = table.where(F.col("place") == "records").select(
-        F.concat("pattern", F.lit("[]")).alias("pattern"), F.lit("block").alias("place"), "kind", "taxonomy",
-        "ref", "open", "children", "required")
-    return nodes.join(F.broadcast(table.unionByName(listed)), "pattern")
+    rows = docs.select("file", F.explode_outer(_joined(checks, ones, lists)).alias("h"))
+    return rows.where(F.col("h").isNotNull()).select("file", "h.*")
 
 
 # ----------------------------------------------------------------- checks
@@ -138,94 +168,132 @@ def check_parse(parsed: DataFrame) -> DataFrame:
     return finding(broken, ERROR, F.col("code"), F.lit(""), message)
 
 
+_HIT = "struct<code:string,path:string,message:string,fix:string>"
+
+
 def _hit(code, path, message, fix=None) -> Column:
     wrap = lambda v: v if isinstance(v, Column) else F.lit(v)
     return F.struct(wrap(code).alias("code"), wrap(path).alias("path"), wrap(message).alias("message"),
                     wrap(fix).cast("string").alias("fix"))
 
 
-def _unknown_hits(names: Sequence[str]) -> Column:
-    checked = F.col("keys").isNotNull() & ~F.col("open") & F.col("place").isin("block", "records")
+def _keys(root: Column, at: str) -> Column:
+    return F.map_keys(F.try_variant_get(root, at, "map<string,variant>"))
+
 
-    def hit(key: Column) -> Column:
-        where = F.when(F.col("path") == "", key).otherwise(F.concat_ws(".", "path", key))
-        return _hit("structure.unknown-field", where, F.concat(F.lit("unknown field '"), key, F.lit("'")),
-                    F.concat(F.lit("did you mean: "), closest_by_edits(key, names)))
-    return F.when(checked, F.transform(F.array_except("keys", "children"), hit))
+def _texts(values: Sequence[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-def _required_hits() -> Column:
-    def hit(key: Column) -> Column:
-        fix = F.when(F.col("path") == "", F.concat(F.lit("every document needs "), key)).otherwise(
-            F.concat("path", F.lit("."), key, F.lit(" is required whenever "), "path", F.lit(" is present")))
-        return _hit("structure.missing-field", F.col("path"),
-                    F.concat(F.lit("missing required field '"), key, F.lit("'")), fix)
-    return F.when(F.col("keys").isNotNull(), F.transform(F.array_except("required", "keys"), hit))
+def unknown_field_check(names: Sequence[str]) -> Check:
+    def make(place: Place, root: Column, at: str, path: Column) -> Column:
+        def hit(key: Column) -> Column:
+            where = key if not place.pattern else F.concat_ws(".", path, key)
+            return _hit("structure.unknown-field", where, F.concat(F.lit("unknown field '"), key, F.lit("'")),
+                        F.concat(F.lit("did you mean: "), closest_by_edits(key, names)))
+        return F.transform(F.array_except(_keys(root, at), _texts(place.children)), hit)
+    return Check(_HIT, lambda p: p.shape == "block" and not p.meta.get("open"), make, many=True)
 
 
-def _type_hits() -> Column:
-    fault = type_fault(F.col("shape"), F.col("text"), F.col("kind"), F.col("place"))
-    message = F.concat(_leaf_name(), F.lit(": expected "), F.coalesce("kind", "place"), F.lit(", got "), F.lower("shape"))
-    return F.when((F.col("path") != "") & fault.isNotNull(),
-                  F.array(_hit(F.concat(F.lit("structure."), fault), F.col("path"), message)))
+def required_check() -> Check:
+    def make(place: Place, root: Column, at: str, path: Column) -> Column:
+        def hit(key: Column) -> Column:
+            fix = (F.concat(F.lit("every document needs "), key) if not place.pattern else F.concat(
+                path, F.lit("."), key, F.lit(" is required whenever "), path, F.lit(" is present")))
+            return _hit("structure.missing-field", path, F.concat(F.lit("missing required field '"), key, F.lit("'")), fix)
+        return F.transform(F.array_except(_texts(place.required), _keys(root, at)), hit)
+    return Check(_HIT, lambda p: p.shape == "block" and bool(p.required), make, many=True)
+
+
+def type_check() -> Check:
+    def make(place: Place, root: Column, at: str, path: Column) -> Column:
+        kind = place.meta.get("kind")
+        shape = F.substring_index(F.schema_of_variant(F.try_variant_get(root, at, "variant")), "<", 1)
+        fault = type_fault(shape, F.try_variant_get(root, at, "string"), place)
+        expected = f"{place.name}: expected {kind or place.shape}, got "
+        return F.when(fault.isNotNull(), _hit(F.concat(F.lit("structure."), fault), path,
+                                              F.concat(F.lit(expected), F.lower(shape))))
+    return Check(_HIT, lambda p: p.pattern != "", make)
 
 
 def _field_names(schema: T.StructType) -> list[str]:
     return sorted({n for node in walk(schema) for n in (*node.children, node.name)})
 
 
-def _structure(nodes: DataFrame, schema: T.StructType, *hits: Column) -> DataFrame:
-    none = F.array().cast("array<struct<code:string,path:string,message:string,fix:string>>")
-    found = F.concat(*[F.coalesce(h, none) for h in hits])
-    rows = _known_nodes(nodes, schema).select("file", F.explode_outer(found).alias("h")).where(F.col("h").isNotNull())
-    return rows.select(F.lit(ERROR).alias("level"), "h.code", "file", "h.path", "h.message", "h.fix")
+def _structure(docs: DataFrame, schema: T.StructType, *checks: Check) -> DataFrame:
+    rows = apply_checks(docs, schema, *checks)
+    return rows.select(F.lit(ERROR).alias("level"), "code", "file", "path", "message", "fix")
 
 
-def check_unknown_fields(nodes: DataFrame, schema: T.StructType) -> DataFrame:
+def check_unknown_fields(docs: DataFrame, schema: T.StructType) -> DataFrame:
     """Keys the schema does not know, at any level, with the closest name."""
-    return _structure(nodes, schema, _unknown_hits(_field_names(schema)))
+    return _structure(docs, schema, unknown_field_check(_field_names(schema)))
 
 
-def check_required(nodes: DataFrame, schema: T.StructType) -> DataFrame:
+def check_required(docs: DataFrame, schema: T.StructType) -> DataFrame:
     """Required keys missing from the root or from a block that is present."""
-    return _structure(nodes, schema, _required_hits())
+    return _structure(docs, schema, required_check())
 
 
-def check_types(nodes: DataFrame, schema: T.StructType) -> DataFrame:
+def check_types(docs: DataFrame, schema: T.StructType) -> DataFrame:
     """Type, pattern, constant and minimum, by the kind of each field."""
-    return _structure(nodes, schema, _type_hits())
+    return _structure(docs, schema, type_check())
 
 
-def check_structure(nodes: DataFrame, schema: T.StructType) -> DataFrame:
+def check_structure(docs: DataFrame, schema: T.StructType) -> DataFrame:
     """The three checks above in one pass."""
-    return _structure(nodes, schema, _unknown_hits(_field_names(schema)), _required_hits(), _type_hits())
-
-
-def type_fault(shape: Column, text: Column, kind: Column, place: Column) -> Column:
-    """What is wrong with one value: type, pattern, anyOf, const, or NULL."""
-    nothing, string = shape == "VOID", shape == "STRING"
-    whole = (shape == "BIGINT") & (text.try_cast("bigint") >= 0)
-    scalar = (F.when(kind.isin("text", "code") & ~(string | nothing), F.lit("type"))
-               .when(kind.isin("version", "date", "id") & ~(string | (nothing & (kind != "id"))), F.lit("type"))
-               .when((kind == "version") & string & ~text.rlike(VERSION_SHAPE), F.lit("pattern"))
-               .when((kind == "date") & string & ~text.rlike(DATE_SHAPE), F.lit("pattern"))
-               .when((kind == "id") & string & ~text.rlike(ID_SHAPE), F.lit("pattern"))
-               .when((kind == "count") & ~F.coalesce(whole | nothing | (string & (text == UNKNOWN)), F.lit(False)),
-                     F.lit("anyOf"))
-               .when((kind == "schema_version")
-                     & ~F.coalesce((shape == "BIGINT") & (text == str(SCHEMA_VERSION)), F.lit(False)), F.lit("const")))
-    return (F.when(place.isin("list", "records"), F.when(~shape.isin("ARRAY", "VOID"), F.lit("type")))
-             .when(place == "any", F.when(~shape.isin("OBJECT", "VOID"), F.lit("type")))
-             .when(place == "block", F.when(shape != "OBJECT", F.lit("type")))
-             .otherwise(scalar))
-
-
-def coded_leaves(nodes: DataFrame, schema: T.StructType) -> DataFrame:
-    """Known text values that must be a code or exist elsewhere."""
-    return (_known_nodes(nodes, schema)
-            .where((F.col("taxonomy").isNotNull() | F.col("ref").isNotNull())
-                   & (F.col("shape") == "STRING") & is_known("text"))
-            .select("file", "path", "pattern", "taxonomy", "ref", F.col("text").alias("value")))
+    return _structure(docs, schema, unknown_field_check(_field_names(schema)), required_check(), type_check())
+
+
+def type_fault(shape: Column, text: Column, place: Place) -> Column:
+    """What is wrong with one value: type, pattern, anyOf, const, or NULL.
+
+    A value that is absent has no shape and no fault.
+    """
+    kind = place.meta.get("kind")
+    if place.shape in ("list", "records", "block", "any"):
+        fine = {"list": ("ARRAY", "VOID"), "records": ("ARRAY", "VOID"), "block": ("OBJECT",), "any": ("OBJECT", "VOID")}
+        return F.when(~shape.isin(*fine[place.shape]), F.lit("type"))
+    patterns = {"version": VERSION_SHAPE, "date": DATE_SHAPE, "id": ID_SHAPE}
+    if kind == "count":
+        good = (((shape == "BIGINT") & (text.try_cast("bigint") >= 0)) | (shape == "VOID")
+                | ((shape == "STRING") & (text == UNKNOWN)))
+        return F.when(shape.isNotNull() & ~F.coalesce(good, F.lit(False)), F.lit("anyOf"))
+    if kind == "schema_version":
+        return F.when(shape.isNotNull() & ~F.coalesce((shape == "BIGINT") & (text == str(SCHEMA_VERSION)), F.lit(False)),
+                      F.lit("const"))
+    wrong = ~shape.isin("STRING") if kind == "id" else ~shape.isin("STRING", "VOID")
+    fault = F.when(wrong, F.lit("type"))
+    if kind in patterns:
+        fault = fault.when((shape == "STRING") & ~text.rlike(patterns[kind]), F.lit("pattern"))
+    return fault
+
+
+_LEAF = "struct<path:string,pattern:string,taxonomy:string,ref:string,value:string>"
+
+
+def coded_leaves(docs: DataFrame, schema: T.StructType, refs: Sequence[str] | None = None) -> DataFrame:
+    """Known text values that must be a code or exist elsewhere.
+
+    ``refs`` limits them to the fields that point at those lists; only fields
+    that are asked for are read.
+    """
+    def want(place: Place) -> bool:
+        if place.shape != "scalar":
+            return False
+        if refs is not None:
+            return place.meta.get("ref") in refs
+        return bool(place.meta.get("taxonomy") or place.meta.get("ref"))
+
+    def make(place: Place, root: Column, at: str, path: Column) -> Column:
+        text = F.try_variant_get(root, at, "string")
+        is_text = F.schema_of_variant(F.try_variant_get(root, at, "variant")) == "STRING"
+        return F.when(is_known(text) & is_text, F.struct(
+            path.alias("path"), F.lit(place.pattern).alias("pattern"),
+            F.lit(place.meta.get("taxonomy")).cast("string").alias("taxonomy"),
+            F.lit(place.meta.get("ref")).cast("string").alias("ref"), text.alias("value")))
+
+    return apply_checks(docs, schema, Check(_LEAF, want, make))
 
 
 def _leaf_name(path: str = "path") -> Column:
@@ -286,9 +354,9 @@ def check_duplicate_ids(ids: DataFrame) -> DataFrame:
 
 def check_documents(docs: DataFrame, schema: T.StructType, dims: DataFrame, ids: DataFrame) -> DataFrame:
     """Structure, codes and references: three passes over the documents."""
-    nodes = document_nodes(docs, schema)
-    leaves = coded_leaves(nodes, schema)
-    return union_findings(check_structure(nodes, schema), check_lists(leaves, dims), check_dangling(leaves, ids))
+    leaves = coded_leaves(docs, schema)
+    edges = coded_leaves(docs, schema, refs=["projects"])
+    return union_findings(check_structure(docs, schema), check_lists(leaves, dims), check_dangling(edges, ids))
 
 
 # ---------------------------------------------------------------- reports

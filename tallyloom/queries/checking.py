@@ -32,12 +32,8 @@ def code_lists(spark: SparkSession) -> DataFrame:
                                              "teams": {c: {} for c in ("team-P", "team-F", "unknown")}})
 
 
-def nodes(spark: SparkSession, sf: str) -> DataFrame:
-    return V.document_nodes(documents(spark, sf), project_schema())
-
-
 def leaves(spark: SparkSession, sf: str) -> DataFrame:
-    return V.coded_leaves(nodes(spark, sf), project_schema())
+    return V.coded_leaves(documents(spark, sf), project_schema())
 
 
 def _select(level: str, code: str, path: str, message: str, fix: str, source: str) -> str:
@@ -85,17 +81,17 @@ REFERENCES_SQL = "\nUNION ALL ".join([
 
 @query("unknown_fields", UNKNOWN_SQL)
 def _unknown(spark, sf):
-    return V.check_unknown_fields(nodes(spark, sf), project_schema())
+    return V.check_unknown_fields(documents(spark, sf), project_schema())
 
 
 @query("required_fields", REQUIRED_SQL)
 def _required(spark, sf):
-    return V.check_required(nodes(spark, sf), project_schema())
+    return V.check_required(documents(spark, sf), project_schema())
 
 
 @query("type_checks", TYPES_SQL)
 def _types(spark, sf):
-    return V.check_types(nodes(spark, sf), project_schema())
+    return V.check_types(documents(spark, sf), project_schema())
 
 
 @query("code_membership", CODES_SQL)
@@ -109,12 +105,13 @@ def _ids(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("reference_membership", REFERENCES_SQL)
 def _references(spark, sf):
-    return V.check_references(leaves(spark, sf), code_lists(spark), _ids(spark, sf))
+    pointing = V.coded_leaves(documents(spark, sf), project_schema(), refs=["sites", "teams", "projects"])
+    return V.check_references(pointing, code_lists(spark), _ids(spark, sf))
 
 
 @query("dangling_dependencies", DANGLING_SQL)
 def _dangling(spark, sf):
-    return V.check_dangling(leaves(spark, sf), _ids(spark, sf))
+    return V.check_dangling(V.coded_leaves(documents(spark, sf), project_schema(), refs=["projects"]), _ids(spark, sf))
 
 
 # Orders of one customer on one day share an id on purpose.
@@ -254,8 +251,7 @@ UNION ALL SELECT file, 'plausible.nothing', 'ownership.contact', 5, 3 FROM ok"""
 def _position_join(spark, sf):
     # Parsing runs Python once; its rows are read by every check.
     parsed = parse_documents(yaml_files(spark, sf)).persist()
-    places = V.document_nodes(parsed.select("file", "doc"), project_schema())
-    found = V.check_types(places, project_schema()).unionByName(V.check_unknown_fields(places, project_schema()))
+    found = V.check_structure(parsed.select("file", "doc"), project_schema())
     rules = Rules().register("plausible.nothing", "ownership.contact", lambda p: p.text("ownership.contact").isNull() & F.col("doc").isNotNull(), "-")
     found = found.unionByName(rules.apply(parsed.select("file", "doc")))
     return V.attach_positions(found, positions(parsed)).select("file", "code", "path", "line", "col")
