@@ -10,6 +10,7 @@ from ..functions.numbers import iso_date
 from ..functions.paths import Paths
 from ..operators import flatten as L
 from ..schema import CHILD_TABLES, project_schema
+from ..session import spread
 from ..sources.documents import json_documents, parse_documents, positions
 from .registry import query, table
 
@@ -71,7 +72,7 @@ def order_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(key.alias("note")).alias("_unmapped"),
         F.struct(F.when(paid, F.lit("verified")).otherwise(F.lit("imported")).alias("confidence"),
                  F.when(price > 250000, day).alias("last_reviewed")).alias("_meta"))
-    return table(spark, sf, "orders").select(F.concat(F.lit("o-"), key, F.lit(".json")).alias("file"), F.to_json(doc).alias("body"))
+    return spread(table(spark, sf, "orders")).select(F.concat(F.lit("o-"), key, F.lit(".json")).alias("file"), F.to_json(doc).alias("body"))
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -186,7 +187,7 @@ def yaml_files(spark: SparkSession, sf: str) -> DataFrame:
     content = (F.when(segment == "BUILDING", F.concat(good, F.lit("id: again\n")))
                .when((segment == "MACHINERY") & (F.col("c_acctbal") < 0), F.lit("")).when(segment == "MACHINERY", F.lit("- a\n- b\n"))
                .when((segment == "FURNITURE") & (F.col("c_acctbal") < 0), F.lit("a: [1, 2\n")).otherwise(good))
-    return table(spark, sf, "customer").select(F.concat(F.lit("c-"), key, F.lit(".yaml")).alias("file"), content.cast("binary").alias("content"))
+    return spread(table(spark, sf, "customer")).select(F.concat(F.lit("c-"), key, F.lit(".yaml")).alias("file"), content.cast("binary").alias("content"))
 
 
 BROKEN_SQL = """CASE WHEN c_mktsegment = 'BUILDING' THEN 'parse.duplicate-key' WHEN c_mktsegment = 'MACHINERY' AND c_acctbal < 0 THEN 'parse.empty'

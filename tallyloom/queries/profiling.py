@@ -9,6 +9,7 @@ from ..functions import numbers as N
 from ..functions import text as X
 from ..operators import profile as P
 from ..operators.keyed import row_numbers
+from ..session import spread
 from .registry import query, table
 
 COLUMNS = ("Order Nr", "Status", "Priority", "Betrag (EUR)", "Menge", "Datum", "Codes", "Leer", "Team")
@@ -36,7 +37,7 @@ tokens AS (SELECT index, "column", value, CAST(SUM(n) AS BIGINT) AS n FROM (
 
 def messy(spark: SparkSession, sf: str) -> DataFrame:
     status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders")).select(
         F.col("o_orderkey").alias("rw"), F.col("o_orderkey").cast("string").alias("Order Nr"),
         F.when(status == "P", F.lit("ja")).when(status == "F", F.lit("Nein")).otherwise(F.lit("?")).alias("Status"),
         F.when(status == "P", F.lower(priority)).when(status == "F", priority)

@@ -33,3 +33,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from the written copy."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, for parsing that costs far more than moving them.
+
+    Only input with fewer splits than cores is moved; large input already has
+    more and stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -128,9 +128,13 @@ def scan_documents(spark: SparkSession, directory: str) -> DataFrame:
     starts with an underscore."""
     raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
            .option("pathGlobFilter", "*.yaml").load(directory))
-    inside = F.regexp_extract("path", re.escape(directory.rstrip("/")) + "/(.*)$", 1)
-    files = raw.select(inside.alias("file"), "content").where(~F.col("file").rlike(r"(^|/)_"))
-    return parse_documents(files)
+    below = re.escape(directory.rstrip("/")) + "/(.*)$"
+    files = raw.select(F.regexp_extract("path", below, 1).alias("file"), "content")
+    # Spark's scan passes over files of no length; the listing has them.
+    listed = spark.createDataFrame([(p,) for p in raw.inputFiles()], "path string")
+    empty = (listed.select(F.regexp_extract(F.url_decode("path"), below, 1).alias("file"))
+             .join(files.select("file"), "file", "left_anti").withColumn("content", F.lit(b"").cast("binary")))
+    return parse_documents(files.unionByName(empty).where(~F.col("file").rlike(r"(^|/)_")))
 
 
 def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
