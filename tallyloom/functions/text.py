@@ -75,7 +75,8 @@ def squeeze(c) -> Column:
     """One blank for each run of white space, trimmed."""
     c = col(c)
     # Most texts hold single blanks only and need no rewriting.
-    return strip(F.when(c.rlike(r"(?U)\s\s|[^\S ]"), F.regexp_replace(c, r"(?U)\s+", " ")).otherwise(c))
+    odd = c.rlike(f"  |[{WHITE_SPACE.replace(' ', '')}]")
+    return strip(F.when(odd, F.regexp_replace(c, f"[{WHITE_SPACE}]+", " ")).otherwise(c))
 
 
 def is_blank(c) -> Column:

@@ -24,22 +24,26 @@ def small_side(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def attach_by_key(big: DataFrame, small: DataFrame, keys: Sequence[str], weight: str,
-                  how: str = "inner") -> DataFrame:
-    """Join ``small`` (one row per key) onto ``big``.
+def attach_by_key(big: DataFrame, small: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+    """Inner join of ``small`` (one row per key) onto ``big``.
 
-    ``weight`` is the number of rows each key has in ``big``. Rows of hot keys
-    meet a broadcast of at most ``HOT_KEYS`` rows and are never shuffled; the
-    others go through an ordinary shuffle join.
+    ``weight`` is the number of rows each key has in ``big``. ``small`` is
+    written once and looked at: a short one is broadcast; without hot keys one
+    shuffle join does; else rows of hot keys meet a broadcast of at most
+    ``HOT_KEYS`` rows and stay where they are, and only the others are shuffled.
     """
     keys = list(keys)
-    total = small.agg(F.sum(weight)).scalar()
-    small = small.withColumn("_hot", F.coalesce(F.col(weight) * HOT_KEYS > total, F.lit(False)))
-    hot = F.broadcast(small.where("_hot").drop("_hot", weight))
-    rest = small.where("NOT _hot").drop("_hot", weight)
-    spread = big.join(hot, keys, "inner")
-    shuffled = big.join(F.broadcast(small.where("_hot").select(*keys)), keys, "left_anti").join(
-        rest, keys, how)
+    small = cut_lineage(small)
+    if small.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        return big.join(F.broadcast(small.drop(weight)), keys)
+    total = small.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) * HOT_KEYS > total
+    if small.where(hot).limit(1).count() == 0:
+        return big.join(small.drop(weight), keys)
+    hot_rows = F.broadcast(small.where(hot).drop(weight))
+    spread = big.join(hot_rows, keys)
+    shuffled = big.join(F.broadcast(small.where(hot).select(*keys)), keys, "left_anti").join(
+        small.where(~hot).drop(weight), keys)
     return spread.unionByName(shuffled)
 
 

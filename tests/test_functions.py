@@ -7,6 +7,7 @@ from tallyloom.functions import numbers as N
 from tallyloom.functions import similarity as S
 from tallyloom.functions import text as X
 from tallyloom.operators.convert import assign_ids
+from tallyloom.operators import keyed
 from tallyloom.operators.keyed import attach_by_key, row_numbers
 
 
@@ -60,7 +61,9 @@ def test_row_numbers_of_a_hot_group(spark):
     assert [r["id"] for r in overall] == list(range(2999, -1, -1))
 
 
-def test_attach_by_key_equals_a_plain_join(spark):
+@pytest.mark.parametrize("limit", [10, 100_000])
+def test_attach_by_key_equals_a_plain_join(spark, monkeypatch, limit):
+    monkeypatch.setattr(keyed, "MAX_BROADCAST_ROWS", limit)
     big = spark.range(20000).select(F.when(F.col("id") < 9000, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id")
     small = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
     got = attach_by_key(big, small, ["k"], weight="n")
