@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import norm_key
 from ..operators import merge as M
+from ..session import spread
 from .registry import query, table
 
 KEY = "Customer No"
@@ -42,7 +43,7 @@ def sources(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("c_acctbal") < 2000, F.lit("")).otherwise(F.col("c_mktsegment")).alias("Segment"),
         F.col("c_nationkey").alias("Nation"))
     nameless = (F.col("o_orderstatus") == "O") & (F.col("o_totalprice") > 400000)
-    shop = table(spark, sf, "orders").select(
+    shop = spread(table(spark, sf, "orders")).select(
         F.col("o_orderkey").alias("_row"),
         F.when(nameless, F.lit("")).otherwise(F.concat(F.lit("customer#"), number("o_custkey"))).alias(KEY),
         F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderpriority")).alias("Segment"),
