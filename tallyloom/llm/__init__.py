@@ -1,0 +1,8 @@
+"""Operators for preparing training text. Nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel with the job, so that workers need no copy of it on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
