@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, shards
+from . import decontaminate, mixing, shards, token_counts
 from .common import read, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,43 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op5_decontamination", """
+with item_words as (
+  select coalesce(item_id::varchar, 'null') as item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark),
+windows as (
+  select distinct item, least(len(words), 10) as n, list_slice(words, i, i + least(len(words), 10) - 1) as phrase
+  from (select *, unnest(range(1, len(words) - least(len(words), 10) + 2)) as i from item_words where len(words) > 0)),
+docs as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from documents),
+places as (
+  select r, n, i, list_slice(words, i, i + n - 1) as phrase
+  from (select r, words, n, unnest(range(1, len(words) - n + 2)) as i
+        from docs, (select distinct n from windows))),
+hits as (select r, i, p.n, item from places p join windows w on p.n = w.n and p.phrase = w.phrase),
+words_hit as (select r, count(distinct w) as n_hit from (select r, unnest(range(i, i + n)) as w from hits) group by r),
+items as (select r, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items
+          from hits group by r)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+       coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from docs left join words_hit using (r) left join items using (r)
+""")
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words and items of the benchmark found in it."""
+    index = decontaminate.build_index(read(spark, sf_dir, "documents"))
+    found = decontaminate.search(index, read(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(index, found).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query("op7_mixing", """
 with rows as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
@@ -87,3 +124,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (shards.with_slots(staged(placed, "shards")).withColumn("law", F.lit("bytes"))
             .withColumn("grown_shard", F.lit(None).cast("int"))
             .select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole document."""
+    return (token_counts.with_token_counts(read(spark, sf_dir, "documents"))
+            .withColumn("over_limit", F.col("n_tokens") > 512))
