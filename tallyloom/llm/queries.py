@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, shards, token_counts
+from . import decontaminate, fingerprints, mixing, shards, token_counts
 from .common import read, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,22 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op4_fingerprints")
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    docs = (read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+            .withColumn("print", fingerprints.fingerprint(F.col("text"))))
+    rows = (fingerprints.with_next(docs, carry=("text", "print"))
+            .withColumn("edited", fingerprints.edited(F.col("text"), F.col("next_text")))
+            .select("doc_id", F.length("text").cast("bigint").alias("n_chars"),
+                    F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "print", "next_print",
+                    fingerprints.fingerprint(F.col("edited")).alias("edited_print")))
+    return rows.select("doc_id", "n_chars", "edited_sha256", fingerprints.as_text(F.col("print")).alias("fingerprint"),
+                       fingerprints.as_text(F.col("edited_print")).alias("edited_fingerprint"),
+                       fingerprints.likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+                       fingerprints.likeness(F.col("print"), F.col("next_print")).alias("near_next"))
+
+
 @query("op5_decontamination", """
 with item_words as (
   select coalesce(item_id::varchar, 'null') as item,
