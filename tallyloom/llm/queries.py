@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, mixing, shards, token_counts
+from . import decontaminate, fingerprints, mixing, shards, token_counts, toxicity
 from .common import read, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score, learned from the labels that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, toxicity.teachable(read(spark, sf_dir, "labels")))
+    return (toxicity.with_scores(docs, model)
+            .select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 @query("op4_fingerprints")
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
