@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, mixing, shards, token_counts, toxicity
+from . import decontaminate, fingerprints, mixing, ngram_join, shards, token_counts, toxicity
 from .common import read, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,29 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_ngram_join", """
+with recursive words as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') as w
+  from documents),
+grams as (
+  select distinct r, doc_id, list_slice(w, i, i + 4) as gram
+  from (select *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)),
+sizes as (select r, doc_id, count(gram) as n from words left join grams using (r, doc_id) group by all),
+common as (select a.r as a, b.r as b, count(*) as n from grams a join grams b on a.gram = b.gram and a.r < b.r group by all),
+near as (select x.doc_id as a, y.doc_id as b from common join sizes x on x.r = common.a join sizes y on y.r = common.b
+         where 100 * common.n >= 80 * (x.n + y.n - common.n)),
+edges as (select a, b from near union select b, a from near),
+reach as (select doc_id as d, doc_id as c from words union select edges.a, c from reach join edges on edges.b = d),
+component as (select d, min(c) as c from reach group by d)
+select doc_id, n as n_shingles, c as component_id from sizes join component on d = doc_id
+""")
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its shingle set and its component of near duplicates."""
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its toxicity score, learned from the labels that are not held out."""
