@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, mixing, ngram_join, shards, token_counts, toxicity
+from . import decontaminate, fingerprints, mixing, ngram_join, shards, substring_dedup, token_counts, toxicity
 from .common import read, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole document."""
     return (token_counts.with_token_counts(read(spark, sf_dir, "documents"))
             .withColumn("over_limit", F.col("n_tokens") > 512))
+
+
+@query("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 50 words or more that another document has too."""
+    return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
