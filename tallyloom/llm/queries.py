@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, mixing, ngram_join, shards, substring_dedup, token_counts, toxicity
+from . import (
+    decontaminate,
+    fingerprints,
+    language_id,
+    mixing,
+    ngram_join,
+    quotes,
+    shards,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 from .common import read, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +34,46 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_quote_links", """
+with said as (select conv_id, turn, min(text) as text from conversations group by all),
+mail as (
+  select m.conv_id, m.turn, m.role,
+         concat_ws(chr(10), case when a.text is not null then '> > ' || replace(b.text, chr(10), chr(10) || '> > ') end,
+                   '> ' || replace(a.text, chr(10), chr(10) || '> '), m.text) as text
+  from conversations m
+  left join said a on a.conv_id = m.conv_id and a.turn = m.turn - case when m.turn % 3 = 2 then 2 else 1 end
+  left join said b on b.conv_id = m.conv_id and b.turn = (m.turn - case when m.turn % 3 = 2 then 2 else 1 end)
+       - case when (m.turn - case when m.turn % 3 = 2 then 2 else 1 end) % 3 = 2 then 2 else 1 end),
+raw as (select *, unnest(string_split(coalesce(text, ''), chr(10))) as l from mail),
+split as (select *, regexp_extract(l, '^((?:>[ \\t]?)*)', 1) as signs from raw),
+lines as (
+  select conv_id, turn, role, len(signs) - len(replace(signs, '>', '')) as level,
+         lower(trim(regexp_replace(substr(l, len(signs) + 1), '\\s+', ' ', 'g'))) as line
+  from split),
+source as (select distinct conv_id, turn, line from lines where level = 0 and line <> ''),
+quoted as (select row_number() over () as q, conv_id, turn, level, line from lines where level > 0 and line <> ''),
+found as (
+  select q.conv_id, q.turn, q.level, q.q, max(s.turn) as latest
+  from quoted q left join source s on s.conv_id = q.conv_id and s.line = q.line and s.turn < q.turn group by all),
+votes as (select conv_id, turn, level, latest, count(*) as n from found group by all),
+best as (
+  select conv_id, turn, first(latest order by level, n desc, latest desc) filter (latest is not null) as source,
+         sum(n)::bigint as n_quoted, coalesce(sum(n) filter (latest is not null), 0)::bigint as n_linked
+  from votes group by all),
+earlier as (select conv_id, turn, lag(turn) over (partition by conv_id order by turn) as previous
+            from (select distinct conv_id, turn from conversations))
+select m.conv_id, m.turn, m.role, coalesce(source, previous) as reply_to,
+       row_number() over (partition by m.conv_id order by m.turn, m.role, m.text) - 1 as position,
+       coalesce(n_quoted, 0) as n_quoted, coalesce(n_linked, 0) as n_linked,
+       regexp_replace(m.text, '^\\s+|\\s+$', '', 'g') as text
+from conversations m left join best on best.conv_id = m.conv_id and best.turn = m.turn
+left join earlier on earlier.conv_id = m.conv_id and earlier.turn = m.turn
+""")
+def op1_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, written as mail that quotes, linked again and freed of the quotes."""
+    return quotes.link(quotes.as_replies(read(spark, sf_dir, "conversations")))
+
+
 @query("op2_ngram_join", """
 with recursive words as (
   select row_number() over () as r, doc_id,
@@ -186,3 +237,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of 50 words or more that another document has too."""
     return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page by all evidence, and of every document by its text and source."""
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.train(docs)
+    pages = language_id.page_evidence(read(spark, sf_dir, "pages"), model[0])
+    of_pages = language_id.identify(pages, model, ["page_id"], declared="declared", suffix="suffix", host="host", domain="domain")
+    of_docs = language_id.identify(docs.select("doc_id", "text", "source"), model, ["doc_id"], host="source")
+    none = F.lit(None).cast("bigint")
+    return (of_pages.withColumn("doc_id", none).unionByName(of_docs.withColumn("page_id", none))
+            .select("doc_id", "page_id", "text_lang", "lang", "confidence"))
