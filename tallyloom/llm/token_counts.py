@@ -262,7 +262,7 @@ def text_counts(counter: Counter, data: np.ndarray, bounds: np.ndarray) -> np.nd
     if added:
         inner = np.searchsorted(bounds, [s for s, _ in added], "right") == np.searchsorted(bounds, [e for _, e in added])
         added = np.searchsorted(at, np.array(added)[inner])
-        begins_text[added[:, 1]] = True
+        begins_text[added.ravel()] = True
     symbols = _symbols(part[at], kind, begins_text)
     for s, e in added:
         symbols[s:e] = ADDED_REST

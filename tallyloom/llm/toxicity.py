@@ -167,15 +167,20 @@ def _fit(y: np.ndarray, row: np.ndarray, col: np.ndarray, row2: np.ndarray, col2
     w = look = np.zeros(d + 1)
     add = lambda r, v: np.bincount(r, v, n)
     back = lambda c, v: np.bincount(c, v, d)
-    # Steps per feature from its share of documents; the bias stands last.
-    share = (np.bincount(col, minlength=d) + np.bincount(col2, minlength=d)) / n + 1e-3
-    width = max(1.0, len(col) / n)
-    step = 1 / np.append(share * width * (0.25 + 2 * penalty) + ridge, 0.25 * width + ridge)
+    # Of a document and its counterfactual only what differs.
+    own, swapped = row * d + col, row2 * d + col2
+    lost, gained = np.setdiff1d(own, swapped), np.setdiff1d(swapped, own)
+    row1, col1, row2, col2 = lost // d, lost % d, gained // d, gained % d
+    # Steps that cannot overshoot: the row sums of the curvature bound it.
+    moved = np.bincount(row1, minlength=n) + np.bincount(row2, minlength=n)
+    curve = (0.25 * back(col, 1.0 + np.bincount(row, minlength=n)[row])
+             + 2 * penalty * (back(col1, moved[row1]) + back(col2, moved[row2]))) / n
+    step = 1 / np.append(curve + ridge, 0.25 * (1 + len(row) / n))
     for k in range(rounds):
         z = add(row, look[col]) + look[d]
-        change = add(row2, look[col2]) - add(row, look[col])
+        change = add(row2, look[col2]) - add(row1, look[col1])
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        grad = (back(col, error[row]) + 2 * penalty * (back(col2, change[row2]) - back(col, change[row]))) / n
+        grad = (back(col, error[row]) + 2 * penalty * (back(col2, change[row2]) - back(col1, change[row1]))) / n
         grad = np.append(grad + ridge * look[:d], error.mean())
         new = look - step * grad
         look = new + k / (k + 3) * (new - w)
