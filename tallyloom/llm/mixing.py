@@ -73,7 +73,7 @@ def copies_per_level(levels: DataFrame, cap: float) -> DataFrame:
     out = (levels.withColumn("_capped", F.coalesce(F.sum(F.col("words") * cap).over(heavy), F.lit(0.0)))
            .withColumn("_mass", F.sum(F.col("words") * F.col("weight")).over(source))
            .withColumn("_gone", F.coalesce(F.sum(F.col("words") * F.col("weight")).over(heavy), F.lit(0.0)))
-           .withColumn("_c", (F.col("target") - F.col("_capped")) / (F.col("_mass") - F.col("_gone"))))
+           .withColumn("_c", F.try_divide(F.col("target") - F.col("_capped"), F.col("_mass") - F.col("_gone"))))
     # The heaviest level that stays under the cap sets c; nothing does when all are capped.
     c = F.max(F.when(F.col("_c") * F.col("weight") <= cap, F.struct("weight", "_c"))).over(source)["_c"]
     copies = F.least(F.lit(float(cap)), F.coalesce(c * F.col("weight"), F.lit(float(cap))))
@@ -125,7 +125,7 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: Sequence
     rest = (known.where("bin is null or edge is null or bin <> edge")
             .withColumn("extra", F.coalesce((F.col("bin") < F.col("edge")).cast("bigint"), F.lit(0))))
     outputs = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"),
-               "copies": (F.col("whole") + F.col("extra")).cast("bigint")}
+               "copies": F.when(F.col("size") > 0, F.col("whole") + F.col("extra")).otherwise(0).cast("bigint")}
     return at_edge.unionByName(rest).select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in outputs],
                                             *[v.alias(k) for k, v in outputs.items()])
 

@@ -266,8 +266,16 @@ def _with_components(named: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component (the one of smallest id; of rows that repeat it, one)."""
-    found = near_duplicates(docs, doc_id, text)
+    """``docs`` with one document of each component: the one of smallest id, and of rows that repeat it, one.
+
+    Rows without an id cannot be told apart by it and stay."""
+    found = staged(near_duplicates(docs, doc_id, text), "near-duplicates")
     gone = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     kept = docs.join(short(gone), docs[doc_id].cast("bigint") == F.col("_gone"), "left_anti")
-    return kept
+    several = staged(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id"),
+                     "repeated-ids")
+    if not several.limit(1).count():
+        return kept
+    same = kept[doc_id].cast("bigint") == F.col("_id")
+    return (kept.join(short(several), same, "left_anti")
+            .unionByName(kept.join(short(several), same, "left_semi").dropDuplicates([doc_id])))
