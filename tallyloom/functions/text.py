@@ -98,8 +98,7 @@ def clean_cell(c) -> Column:
     spaced = strip(F.regexp_replace(c, "[\u00a0\t ]+", " "))
     tidied = F.regexp_replace(spaced, r"\n{2,}", "\n")
     tidy = F.when(c.rlike("[\u00a0\t]|  |\n\n"), tidied).otherwise(strip(c))
-    marker = (F.length(c) <= _LONGEST_MARKER) | c.rlike(r"^\s|\s$|[\u00a0\t ]{2}")
-    return F.when(~marker | ~F.lower(tidy).isin(*EMPTY_MARKERS), tidy)
+    return F.when((F.length(tidy) > _LONGEST_MARKER) | ~F.lower(tidy).isin(*EMPTY_MARKERS), tidy)
 
 
 def transliterate(c) -> Column:

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,18 +28,38 @@ from .keyed import attach_by_key, row_numbers, small_side
 
 ID_WIDTH = 60
 NO_ID = "projekt"
-_STEP = re.compile(r"^([A-Za-z_][A-Za-z0-9_-]*)(?:\[(\d*)\])?$")
 
+EVERY = -1
+_NAME = r"[A-Za-z_][A-Za-z0-9_-]*"
+_STEP = rf"({_NAME})(\[(\d*)\])?"
+_PATH = re.compile(rf"{_STEP}(?:\.{_STEP})*")
 
-def parse_path(path: str) -> list[tuple[str, bool]]:
-    """Steps of a target path: (name, is it a list)."""
-    steps = []
-    for part in path.split("."):
-        found = _STEP.match(part.strip())
-        if not found:
-            raise ValueError(f"invalid path segment {part!r} in {path!r}")
-        steps.append((found.group(1), found.group(2) is not None))
-    return steps
+
+@dataclass(frozen=True)
+class Step:
+    """One name of a target path; ``place`` is None for a single value, EVERY for all
+    elements of a list, else the number of one element."""
+
+    name: str
+    place: int | None
+
+
+@lru_cache
+def target(path: str) -> tuple[Step, ...]:
+    compact = re.sub(r"\s*\.\s*", ".", path.strip())
+    if not _PATH.fullmatch(compact):
+        raise ValueError(f"not a target path: {path!r}")
+    return tuple(Step(name, None if not mark else int(number or EVERY)) for name, mark, number in re.findall(_STEP, compact))
+
+
+def every_prefix(path: str) -> str | None:
+    """The path of the list whose elements this path spreads over, if it does."""
+    shown = []
+    for step in target(path):
+        shown.append(step.name + ("" if step.place is None else "[]" if step.place == EVERY else f"[{step.place}]"))
+        if step.place == EVERY:
+            return ".".join(shown)
+    return None
 
 
 # -------------------------------------------------------------- cell level
@@ -121,11 +143,6 @@ def pieces(c, spec: Mapping, value_map: Mapping[str, object]) -> Column:
 
 # ------------------------------------------------------------ record level
 
-def list_prefix(path: str) -> str | None:
-    at = path.find("[]")
-    return None if at < 0 else path[: at + 2]
-
-
 def zip_lists(columns: Mapping[str, Column]) -> Column:
     """Columns of one list zipped by position, short ones padded with NULL."""
     names = list(columns)
@@ -152,87 +169,124 @@ def convert(df: DataFrame, mapping: Mapping[str, str | None], profile: Mapping[s
     found = {h: F.col(f"`_p_{i}`") for i, h in enumerate(mapped)}
     prepared = df.select("*", *[pieces(F.col(f"`{h}`"), profile.get(h, {}), value_map.get(p, {})).alias(f"_p_{i}")
                                 for i, (h, p) in enumerate(mapped.items())])
-    tree: dict = {}
-    for h, p in mapped.items():
-        _place(tree, p, found[h])
+    leaves = {target(p): Leaf.of(found[h], profile.get(h, {}), value_map.get(p, {})) for h, p in mapped.items()}
     loose = [h for h in headers if h not in mapped]
     unmapped = _capture(loose, profile)
     filled = F.lit(False)
     for values in found.values():
         filled = filled | (F.size(values) > 0)
-    record = _build(tree, keep_empty) if tree else F.struct(F.lit(None).cast("string").alias("_empty"))
+    record = _record(list(leaves.items())) if leaves else F.struct(F.lit(None).cast("string").alias("_empty"))
     out = prepared.select(*keep, record.alias("record"), unmapped.alias("_unmapped"), filled.alias("_filled"))
     return out.where(F.col("_filled") | (F.size("_unmapped") > 0) | F.lit(keep_empty)).drop("_filled")
 
 
-def _place(tree: dict, path: str, values: Column) -> None:
-    steps = path.split(".")
-    node = tree
-    for i, step in enumerate(steps):
-        name, _, mark = step.partition("[")
-        last = i == len(steps) - 1
-        if mark == "]":
-            if last:
-                node[name] = ("list", values)
-            else:
-                node.setdefault(name, ("records", {}))[1][".".join(steps[i + 1:])] = values
-            return
-        if mark:
-            place = int(mark[:-1])
-            items = node.setdefault(name, ("places", {}))[1]
-            node = items.setdefault(place, {})
-            if last:
-                items[place] = ("scalar", values)
-        elif last:
-            node[name] = ("scalar", values)
-        else:
-            node = node.setdefault(name, {})
-
-
-def _scalar(values: Column) -> Column:
-    # Several values without a list in the path stay together as text.
-    return (F.when(F.size(values) == 1, values[0])
-             .when(F.size(values) > 1, F.to_json(values)))
-
-
-def _record_of(names: Sequence[str]):
-    return lambda element: _inner(element, names)
-
-
-def _inner(element: Column, names: Sequence[str]) -> Column:
-    nested: dict = {}
-    for n in names:
-        node = nested
-        *heads, leaf = n.split(".")
-        for head in heads:
-            node = node.setdefault(head, {})
-        node[leaf] = element.getField(n.replace(".", "_"))
-
-    def build(tree: dict) -> Column:
-        return F.struct(*[(build(v) if isinstance(v, dict) else v).alias(k) for k, v in sorted(tree.items())])
-    return build(nested)
-
-
-def _build(tree: dict, keep_empty: bool) -> Column | None:
-    fields = []
-    for name, node in sorted(tree.items()):
-        if isinstance(node, dict):
-            value = _build(node, keep_empty)
-        elif node[0] == "scalar":
-            value = _scalar(node[1])
-        elif node[0] == "list":
-            value = F.when(F.size(node[1]) > 0, node[1])
-        elif node[0] == "records":
-            names = list(node[1])
-            zipped = F.arrays_zip(*[node[1][n].alias(n.replace(".", "_")) for n in names])
-            value = F.when(F.size(zipped) > 0, F.transform(zipped, _record_of(names)))
-        else:
-            places = node[1]
-            value = F.array(*[_scalar(places[i][1]) if isinstance(places.get(i), tuple)
-                              else (_build(places[i], keep_empty) if i in places else F.lit(None))
-                              for i in range(max(places) + 1)])
-        fields.append(value.alias(name))
-    return F.struct(*fields) if fields else None
+@dataclass(frozen=True)
+class Leaf:
+    """The values of one mapped column, as text, and what they become.
+
+    Text stays text. Numbers, and columns that may give several values where the path
+    has room for one, are variants: numbers as numbers, what could not be read as the
+    text it was, several values as a list."""
+
+    values: Column
+    number: bool
+    several: bool
+
+    @staticmethod
+    def of(values: Column, spec: Mapping, value_map: Mapping[str, object]) -> Leaf:
+        lists = any(isinstance(v, (list, tuple)) for v in value_map.values())
+        return Leaf(values, spec.get("kind") in ("integer", "number"), bool(spec.get("list_separator")) or lists)
+
+    @property
+    def shape(self) -> str:
+        return "variant" if self.number or self.several else "string"
+
+    def typed(self, value: Column) -> Column:
+        if not self.number:
+            return value
+        whole, decimal = value.rlike(r"^-?\d+$"), value.rlike(r"^-?\d+\.\d+$")
+        return F.coalesce(F.when(whole, value.try_cast("bigint")).cast("variant"),
+                          F.when(whole | decimal, value.try_cast("double")).cast("variant"), value.cast("variant"))
+
+    def one(self) -> Column:
+        first = F.get(self.values, F.lit(0))
+        if self.shape == "string":
+            return first
+        return (F.when(F.size(self.values) == 1, self.typed(first).cast("variant"))
+                .when(F.size(self.values) > 1, F.transform(self.values, self.typed).cast("variant")))
+
+    def all(self) -> Column:
+        return F.transform(self.values, self.typed) if self.number else self.values
+
+
+_Leaves = list[tuple[tuple[Step, ...], Leaf]]
+
+
+def _record(leaves: _Leaves) -> Column:
+    """A struct of the fields that the paths begin with, in order of their names."""
+    fields: dict[str, _Leaves] = {}
+    for steps, leaf in leaves:
+        fields.setdefault(steps[0].name, []).append((steps, leaf))
+    return F.struct(*[_field(name, members).alias(name) for name, members in sorted(fields.items())])
+
+
+def _field(name: str, members: _Leaves) -> Column:
+    places = {steps[0].place for steps, _ in members}
+    if len(places) > 1 and (None in places or EVERY in places):
+        raise ValueError(f"{name!r} is mapped both as a whole and by its elements")
+    if places == {EVERY}:
+        return _elements(name, members)
+    if places == {None}:
+        return _value(name, members)
+    at = {k: [m for m in members if m[0][0].place == k] for k in places}
+    shapes = {_shape(part) for part in at.values()}
+    values = [_value(name, at[k]) if k in at else F.lit(None) for k in range(max(at) + 1)]
+    if len(shapes) > 1:  # elements of different fields
+        values = [_variant(v, at.get(k)) for k, v in enumerate(values)]
+    return F.array(*values)
+
+
+def _ends(name: str, members: _Leaves) -> bool:
+    ends = [len(steps) == 1 for steps, _ in members]
+    if any(ends) and not all(ends):
+        raise ValueError(f"{name!r} is mapped both to a value and to fields below it")
+    return all(ends)
+
+
+def _value(name: str, members: _Leaves) -> Column:
+    if _ends(name, members):
+        return members[-1][1].one()
+    return _record([(steps[1:], leaf) for steps, leaf in members])
+
+
+def _elements(name: str, members: _Leaves) -> Column:
+    """A list: of values, or of records zipped by position."""
+    if _ends(name, members):
+        values = members[-1][1].all()
+        return F.when(F.size(values) > 0, values)
+    zipped = F.arrays_zip(*[leaf.all().alias(f"f{k}") for k, (_, leaf) in enumerate(members)])
+
+    def record(element: Column) -> Column:
+        return _plain([(steps[1:], element.getField(f"f{k}")) for k, (steps, _) in enumerate(members)])
+    return F.when(F.size(zipped) > 0, F.transform(zipped, record))
+
+
+def _plain(values: list[tuple[tuple[Step, ...], Column]]) -> Column:
+    """A struct of columns by the names of their paths; lists inside lists are not told apart from values."""
+    fields: dict[str, list] = {}
+    for steps, value in values:
+        fields.setdefault(steps[0].name, []).append((steps[1:], value))
+    return F.struct(*[(_plain(below) if below[0][0] else below[-1][1]).alias(name) for name, below in sorted(fields.items())])
+
+
+def _shape(members: _Leaves) -> tuple:
+    return tuple(sorted((tuple((s.name, s.place) for s in steps[1:]), leaf.shape) for steps, leaf in members))
+
+
+def _variant(value: Column, members: _Leaves | None) -> Column:
+    if members is None or len(members[0][0]) == 1:
+        return value.cast("variant")
+    return F.to_variant_object(value)
 
 
 def _capture(headers: Sequence[str], profile: Mapping[str, Mapping]) -> Column:
@@ -260,8 +314,8 @@ def misaligned_lists(df: DataFrame, mapping: Mapping[str, str | None],
     df = clean_table(df)
     groups: dict[str, list[str]] = {}
     for h, p in mapping.items():
-        if _is_mapped(p) and list_prefix(p):
-            groups.setdefault(list_prefix(p), []).append(h)
+        if _is_mapped(p) and every_prefix(str(p)):
+            groups.setdefault(every_prefix(str(p)), []).append(h)
     counts = []
     for prefix, headers in sorted(groups.items()):
         sizes = F.filter(F.array(*[F.size(pieces(F.col(f"`{h}`"), profile.get(h, {}), value_map.get(mapping[h], {})))
@@ -319,10 +373,12 @@ def number_slugs(keys: DataFrame, taken: DataFrame | None = None) -> DataFrame:
     used = plain.unionByName(after).distinct().join(keys.select("_slug").distinct(), "_slug", "left_semi")
     used = row_numbers(used, ["_k"], ["_slug"], "_i")
     # Numbers 1.._k-1 hold _k - _i free ones: a used number lies behind them.
-    both = numbered.select("_slug", "source_key", F.col("_m").cast("double").alias("_pos")).unionByName(
+    both = numbered.select("_slug", "source_key", F.col("_m").cast("double").alias("_pos"),
+                             F.lit(0).cast("bigint").alias("_k")).unionByName(
         used.select("_slug", F.lit(None).cast("string").alias("source_key"),
-                    (F.col("_k") - F.col("_i") + 0.5).alias("_pos")))
-    placed = row_numbers(both, ["_pos"], ["_slug"], "_n").where(F.col("source_key").isNotNull())
+                    (F.col("_k") - F.col("_i") + 0.5).alias("_pos"), "_k"))
+    # Consecutive used numbers share a position: the number itself spreads them over ranges.
+    placed = row_numbers(both, ["_pos", "_k"], ["_slug"], "_n").where(F.col("source_key").isNotNull())
     return placed.select("source_key", F.when(F.col("_n") == 1, F.col("_slug")).otherwise(
         F.concat("_slug", F.lit("-"), F.col("_n").cast("string"))).alias("project_id"))
 

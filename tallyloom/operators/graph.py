@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.known import is_known
 from ..session import cut_lineage
-from .keyed import MAX_BROADCAST_ROWS, attach_by_key
+from .keyed import attach_by_key, is_small
 
 
 def clean_edges(edges: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def _at(edges: DataFrame, nodes: DataFrame, end: str) -> DataFrame:
     Few nodes are broadcast after counting them; many go through the join that
     keeps hubs in place.
     """
-    if nodes.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+    if is_small(nodes):
         return edges.join(F.broadcast(nodes), end)
     degree = edges.groupBy(end).agg(F.count(F.lit(1)).alias("_deg"))
     return attach_by_key(edges, nodes.join(degree, end), [end], weight="_deg")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
@@ -15,13 +16,29 @@ from ..session import cut_lineage
 HOT_KEYS = 2048
 
 
-# A code list up to this length is broadcast; a longer one is joined by shuffle.
+# A table up to this many rows and bytes is broadcast; a larger one is joined by shuffle.
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 8 << 20
+
+
+def is_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS, most: int = MAX_BROADCAST_BYTES) -> bool:
+    """At most ``limit`` rows, and at most ``most`` bytes in them. Looks at no more than ``limit`` + 1 rows."""
+    width = F.lit(0)
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            width = width + 8
+    found = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("bytes")).first()
+    return found["n"] <= limit and (found["bytes"] or 0) <= most
 
 
 def small_side(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when counting shows it is short enough."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    """Mark ``df`` for broadcast when it is shown to be small."""
+    return F.broadcast(df) if is_small(df, limit) else df
 
 
 def attach_by_key(big: DataFrame, small: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
@@ -34,7 +51,7 @@ def attach_by_key(big: DataFrame, small: DataFrame, keys: Sequence[str], weight:
     """
     keys = list(keys)
     small = cut_lineage(small)
-    if small.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+    if is_small(small):
         return big.join(F.broadcast(small.drop(weight)), keys)
     total = small.agg(F.sum(weight)).first()[0] or 0
     hot = F.col(weight) * HOT_KEYS > total
@@ -59,6 +76,9 @@ def row_numbers(df: DataFrame, order: Sequence[str | Column], group: Sequence[st
     spark = df.sparkSession
     group = list(group)
     order = [F.col(c) if isinstance(c, str) else c for c in order]
+    # Rows of equal order would all fall into one range: the rest of the row spreads them.
+    hashed = [f"`{f.name}`" for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    order = [*order, F.xxhash64(*hashed)]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *group, *order).withColumn("_range", F.spark_partition_id())
     # The ranges come from a sample: fix them before they are read twice.

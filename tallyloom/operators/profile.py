@@ -347,10 +347,10 @@ def similar_values(clusters: DataFrame, measure: str = "ratio",
 
 
 def canonical_values(tokens: DataFrame) -> DataFrame:
-    """The most frequent spelling of each value; the shorter one on a tie."""
+    """The most frequent spelling of each value; on a tie the shorter one, then the first in code point order."""
     return (tokens.withColumn("cluster", X.spelling_key("value"))
             .groupBy("column", "cluster")
-            .agg(F.max_by("value", F.struct(F.col("n"), -F.length("value"), F.col("value"))).alias("canonical"),
+            .agg(F.min_by("value", F.struct(-F.col("n"), F.length("value"), F.col("value"))).alias("canonical"),
                  F.count(F.lit(1)).alias("spellings"), F.sum("n").alias("n")))
 
 
@@ -450,7 +450,7 @@ def derive_schema(profile: DataFrame, tokens: DataFrame, mapping: dict[str, str
     Code-list columns carry their mapped values plus ``unknown`` in the field
     metadata. Reads the profile, which has one row per column.
     """
-    from .convert import mapped_codes, parse_path
+    from .convert import mapped_codes, target
 
     value_map = value_map or {}
     listed = profile.where(is_code_list(ENUM_MAX_DISTINCT)).select("index", "column")
@@ -475,8 +475,9 @@ def derive_schema(profile: DataFrame, tokens: DataFrame, mapping: dict[str, str
         if row["kind"] == "list" and "[" not in path:
             leaf = T.ArrayType(T.StringType())
         node = root
-        steps = parse_path(path)
-        for i, (name, is_list) in enumerate(steps):
+        steps = target(path)
+        for i, step in enumerate(steps):
+            name, is_list = step.name, step.place is not None
             if i == len(steps) - 1:
                 node[name] = (T.ArrayType(leaf) if is_list else leaf, meta)
             else:

@@ -185,12 +185,12 @@ def _texts(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-def unknown_field_check(names: Sequence[str]) -> Check:
+def unknown_field_check() -> Check:
     def make(place: Place, root: Column, at: str, path: Column) -> Column:
         def hit(key: Column) -> Column:
             where = key if not place.pattern else F.concat_ws(".", path, key)
             return _hit("structure.unknown-field", where, F.concat(F.lit("unknown field '"), key, F.lit("'")),
-                        F.concat(F.lit("did you mean: "), closest_by_edits(key, names)))
+                        F.concat(F.lit("did you mean: "), closest_by_edits(key, sorted(place.children))))
         return F.transform(F.array_except(_keys(root, at), _texts(place.children)), hit)
     return Check(_HIT, lambda p: p.shape == "block" and not p.meta.get("open"), make, many=True)
 
@@ -213,11 +213,8 @@ def type_check() -> Check:
         expected = f"{place.name}: expected {kind or place.shape}, got "
         return F.when(fault.isNotNull(), _hit(F.concat(F.lit("structure."), fault), path,
                                               F.concat(F.lit(expected), F.lower(shape))))
-    return Check(_HIT, lambda p: p.pattern != "", make)
-
-
-def _field_names(schema: T.StructType) -> list[str]:
-    return sorted({n for node in walk(schema) for n in (*node.children, node.name)})
+    # Places of any content are exempt.
+    return Check(_HIT, lambda p: p.pattern != "" and p.shape != "any", make)
 
 
 def _structure(docs: DataFrame, schema: T.StructType, *checks: Check) -> DataFrame:
@@ -226,8 +223,8 @@ def _structure(docs: DataFrame, schema: T.StructType, *checks: Check) -> DataFra
 
 
 def check_unknown_fields(docs: DataFrame, schema: T.StructType) -> DataFrame:
-    """Keys the schema does not know, at any level, with the closest name."""
-    return _structure(docs, schema, unknown_field_check(_field_names(schema)))
+    """Keys the schema does not know, at any level, with the closest name that is valid there."""
+    return _structure(docs, schema, unknown_field_check())
 
 
 def check_required(docs: DataFrame, schema: T.StructType) -> DataFrame:
@@ -242,7 +239,7 @@ def check_types(docs: DataFrame, schema: T.StructType) -> DataFrame:
 
 def check_structure(docs: DataFrame, schema: T.StructType) -> DataFrame:
     """The three checks above in one pass."""
-    return _structure(docs, schema, unknown_field_check(_field_names(schema)), required_check(), type_check())
+    return _structure(docs, schema, unknown_field_check(), required_check(), type_check())
 
 
 def type_fault(shape: Column, text: Column, place: Place) -> Column:

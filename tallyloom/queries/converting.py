@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import convert as C
+from ..operators import flatten as L
+from ..operators import validate as V
+from ..schema import project_schema
+from ..session import stage_path
+from ..sources.documents import read_json_documents
 from .profiling import MESSY_SQL, messy
 from .registry import query, table
 from .report import PRIORITY_SQL, dims
@@ -45,8 +50,7 @@ def _transliterate(spark, sf):
 
 @query("column_mapping", f"""WITH {MESSY_SQL}
 SELECT rw, CASE o.o_orderstatus WHEN 'P' THEN 'migrated' WHEN 'F' THEN 'no' END AS status,
-  regexp_replace(regexp_replace(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR), '(\\.\\d*?)0+$', '\\1'), '\\.$', '') AS amount,
-  replace("Menge", ' GB', '') AS storage_gb, strftime(o_orderdate, '%Y-%m-%d') AS day,
+  CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS amount, CAST(replace("Menge", ' GB', '') AS BIGINT) AS storage_gb, strftime(o_orderdate, '%Y-%m-%d') AS day,
   CASE WHEN "Team" = ' - ' THEN NULL WHEN o.o_orderstatus = 'P' THEN 'team-alpha' ELSE replace("Team", '  ', ' ') END AS team_id,
   CAST(greatest(len({ENGINES_SQL}), len({ROLES_SQL})) AS INT) AS datastores,
   array_to_string({ENGINES_SQL}, '|') AS engines, array_to_string({ROLES_SQL}, '|') AS roles
@@ -54,13 +58,28 @@ FROM messy JOIN orders o ON o_orderkey = rw""")
 def _mapping(spark, sf):
     records = C.convert(messy(spark, sf), MAPPING, PROFILE, VALUE_MAP, keep=["rw"])
     r = F.col("record")
-    return records.select("rw", r["migration"]["status"].alias("status"), r["platform"]["amount"].alias("amount"),
-                          r["platform"]["storage_gb"].alias("storage_gb"), r["target"]["days"][0]["day"].alias("day"),
+    return records.select("rw", r["migration"]["status"].alias("status"), F.try_variant_get(r["platform"]["amount"], "$", "double").alias("amount"),
+                          F.try_variant_get(r["platform"]["storage_gb"], "$", "bigint").alias("storage_gb"), r["target"]["days"][0]["day"].alias("day"),
                           r["ownership"]["team_id"].alias("team_id"), F.size(r["datastores"]).alias("datastores"),
                           F.array_join(r["datastores"]["engine"], "|").alias("engines"),
                           F.array_join(r["datastores"]["role"], "|").alias("roles"))
 
 
+@query("round_trip", """SELECT 'o-' || o_orderkey AS project_id, CAST(floor(o_totalprice / 1000) AS BIGINT) AS storage_gb,
+  0::BIGINT AS type_findings FROM orders""")
+def _round_trip(spark, sf):
+    """Messy rows to records, written as JSON, scanned, flattened and checked: numbers arrive as numbers."""
+    rows = messy(spark, sf).withColumn("Order Nr", F.concat(F.lit("o-"), F.col("rw").cast("string")))
+    records = C.convert(rows, {"Order Nr": "id", "Menge": "platform.storage_gb", "Team": "ownership.team_id"}, PROFILE, VALUE_MAP)
+    path = stage_path(spark, "records")
+    records.select("record.*").write.json(path)
+    docs = read_json_documents(spark, path).withColumn("file", F.try_variant_get("doc", "$.id", "string"))
+    found = V.check_types(docs, project_schema()).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    flat = L.flatten_projects(docs, project_schema()).select("project_id", "storage_gb")
+    return (flat.join(found, F.col("file") == F.col("project_id"), "left")
+            .select("project_id", F.col("storage_gb").cast("bigint"), F.coalesce("n", F.lit(0).cast("bigint")).alias("type_findings")))
+
+
 @query("value_map", f"""WITH {MESSY_SQL} SELECT rw, unnest({ENGINES_SQL}) AS code FROM messy""")
 def _value_map(spark, sf):
     codes = C.mapped_codes(X.clean_cell("Priority"), VALUE_MAP["datastores[].engine"])

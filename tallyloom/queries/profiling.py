@@ -186,13 +186,13 @@ def _similar_ratio(spark, sf):
 
 @query("canonical_spelling", f"""WITH {MESSY_SQL}, k AS (SELECT *, regexp_replace(lower(value), '[^a-z0-9]+', '', 'g') AS cluster FROM tokens)
 SELECT "column", cluster, value AS canonical, COUNT(*) OVER w AS spellings, CAST(SUM(n) OVER w AS BIGINT) AS n FROM k WINDOW w AS (PARTITION BY "column", cluster)
-QUALIFY row_number() OVER (PARTITION BY "column", cluster ORDER BY n DESC, length(value), value DESC) = 1""")
+QUALIFY row_number() OVER (PARTITION BY "column", cluster ORDER BY n DESC, length(value), value) = 1""")
 def _canonical(spark, sf):
     return P.canonical_values(tokens(spark, sf))
 
 
 @query("value_map_starter", f"""WITH {MESSY_SQL}, k AS (SELECT *, regexp_replace(lower(value), '[^a-z0-9]+', '', 'g') AS cluster FROM tokens WHERE index IN (1, 2, 6, 8)),
- best AS (SELECT "column", cluster, value AS canonical FROM k QUALIFY row_number() OVER (PARTITION BY "column", cluster ORDER BY n DESC, length(value), value DESC) = 1)
+ best AS (SELECT "column", cluster, value AS canonical FROM k QUALIFY row_number() OVER (PARTITION BY "column", cluster ORDER BY n DESC, length(value), value) = 1)
 SELECT "column", value, n, trim(regexp_replace(lower(canonical), '[^a-z0-9]+', '_', 'g'), '_') AS code FROM k JOIN best USING ("column", cluster)""")
 def _value_map(spark, sf):
     steps = stages(spark, sf)

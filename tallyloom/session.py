@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a temporary folder.
+    Only a local session that names none (a test) gets a temporary folder;
+    elsewhere the executors could not read what is written there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not base:
         base = context.getCheckpointDir()
     if not base:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tallyloom-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(base)
