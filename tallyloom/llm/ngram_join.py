@@ -11,14 +11,19 @@ what a size-derived bound shows to be without a partner.
    ``extra`` of the smaller one. So a row whose head has fewer n-grams in common
    with all other rows together has no partner and leaves. This is one count
    per column of the incidence matrix and one per row.
-3. Of the remaining head only the columns with fewest rows are kept, as many
-   as make sure that one is shared with every partner.
-4. The product runs over these columns, rarest rows first: within a column
-   each row meets the *pivots* of the column (few at first, doubling each
-   round), unless sizes alone forbid a link or both are already known to be of
-   one component. Met pairs are verified on whole texts. A column whose rows
-   are all of one component, or have all been pivots, is done. A column of a
-   thousand copies costs a thousand verifications, not half a million.
+3. For the rows that are left the whole matrix is counted the same way. An
+   n-gram that no other row has is *private*. A row with fewer than ``need``
+   others leaves; of the rest only the columns with fewest rows are kept, as
+   many as make sure that one of them is shared with every partner.
+4. Rows that these columns connect are a *family*; different families share
+   nothing. A family is cut into blocks of rows of one size class, and the
+   product runs block by block, accumulating the overlap of each pair of rows
+   over their common columns. Blocks whose sizes forbid a link are not
+   multiplied. In a family of several blocks every row first meets one *lead*
+   row, and blocks of rows that link with it are not multiplied with each other,
+   being of one component already: a thousand copies cost a thousand
+   comparisons and the blocks of those few that do not link.
+   Small families share a block. A block pair gives a spanning forest of its links.
 
 Hash columns and rows are spread by hash; a column of a third of all rows is
 counted with pre-aggregation and joined with a side that Spark may split.
@@ -47,7 +52,8 @@ TOKEN = Words([b for b in range(256) if b not in (0x20, *range(0x09, 0x0E))])
 
 N = 5
 THRESHOLD = 80
-EXTRA = 20  # the head is longer by one n-gram in so many
+EXTRA = 10  # the head is longer by one n-gram in so many
+BLOCK = 256  # rows in a block
 
 
 def need(a):
@@ -117,45 +123,118 @@ def _shared_heads(n: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(F.ceil(n * THRESHOLD / 100) / EXTRA)).cast("int")
 
 
-def candidate_columns(docs: DataFrame) -> DataFrame:
-    """What is left of the matrix after steps 2 and 3: ``gram, row, n``."""
-    all_heads = heads(docs)
+def _shared_columns(entries: DataFrame) -> DataFrame:
+    """``gram, rows`` of the columns with more than one row."""
     # A column of one row (or of copies of it) has its smallest and largest row the same.
-    columns = (all_heads.groupBy("gram").agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("a"), F.max("row").alias("b"))
-               .where("a <> b").select("gram", "rows"))
-    shared = all_heads.join(columns, "gram")
-    kept = (shared.groupBy("row").agg(F.first("n").alias("n"), F.collect_set(F.struct("rows", "gram")).alias("own"))
-            .where(F.size("own") >= _shared_heads(F.col("n")))
-            .withColumn("own", F.slice(F.array_sort("own"), F.lit(1), F.size("own") - _shared_heads(F.col("n")) + 1))
-            .select("row", "n", F.explode("own").alias("own")).select(F.col("own.gram").alias("gram"), "row", "n"))
-    return staged(kept, "columns")
+    return (entries.groupBy("gram").agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("a"), F.max("row").alias("b"))
+            .where("a <> b").select("gram", "rows"))
+
+
+def candidate_rows(docs: DataFrame) -> DataFrame:
+    """``row`` of all that step 2 leaves."""
+    entries = heads(docs)
+    shared = entries.join(_shared_columns(entries), "gram")
+    counted = shared.groupBy("row").agg(F.first("n").alias("n"), F.size(F.collect_set("gram")).alias("shared"))
+    return staged(counted.where(F.col("shared") >= _shared_heads(F.col("n"))).select("row"), "candidates")
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) that reach the threshold. Only texts move, once per pair at most."""
-    met = (pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
-           .join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a"))
+def candidate_columns(texts: DataFrame) -> DataFrame:
+    """The columns that step 3 keeps: ``gram, row, n``. ``texts``: row, text, each row once."""
+    def entries_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, bounds in pieces(batches, "text"):
+            sets = list(_sets(rows, data, bounds))
+            lengths = [len(x) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(sets).view(np.int64)), pa.array(np.repeat(np.array(rows.column("row")), lengths)),
+                 pa.array(np.repeat(np.array(lengths, np.int32), lengths))], ["gram", "row", "n"])
+
+    entries = texts.mapInArrow(entries_of, "gram bigint, row bigint, n int")
+    keep = F.size("own") - F.ceil(F.col("n") * THRESHOLD / 100).cast("int") + 1
+    kept = (entries.join(_shared_columns(entries), "gram")
+            .groupBy("row").agg(F.first("n").alias("n"), F.collect_list(F.struct("rows", "gram")).alias("own"))
+            .where(keep > 0).withColumn("own", F.slice(F.array_sort("own"), F.lit(1), F.greatest(keep, F.lit(0))))
+            .select("row", "n", F.explode("own.gram").alias("gram")))
+    return staged(kept, "columns")
+
 
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
+def _overlaps(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows (i < j) with a common n-gram, and how many they have."""
+    r = len(sets)
+    grams = np.concatenate(sets)
+    row = np.repeat(np.arange(r), [len(s) for s in sets])
+    order = np.argsort(grams, kind="stable")
+    grams, row = grams[order], row[order]
+    new = np.ones(len(grams), bool)
+    new[1:] = grams[1:] != grams[:-1]
+    size = np.diff(np.append(np.flatnonzero(new), len(grams)))
+    column, size = np.cumsum(new) - 1, np.repeat(size, size)
+    total = np.zeros(r * r, np.int64)
+    few = (size > 1) & (size <= 16)
+    c, x = column[few], row[few]
+    for k in range(1, 16):  # the rows of a column stand side by side, in order
+        same = c[k:] == c[:-k]
+        if not same.any():
+            break
+        total += np.bincount(x[:-k][same] * r + x[k:][same], minlength=r * r)
+    many = size > 16
+    _, c = np.unique(column[many], return_inverse=True)
+    x, width = row[many], 4096
+    for lo in range(0, int(c.max()) + 1 if len(c) else 0, width):
+        part = (c >= lo) & (c < lo + width)
+        block = np.zeros((r, width), np.float32)
+        block[x[part], c[part] - lo] = 1
+        total += (block @ block.T).astype(np.int64).ravel()
+    i, j = np.divmod(np.flatnonzero(total), r)
+    upper = i < j
+    return i[upper], j[upper], total.reshape(r, r)[i[upper], j[upper]]
+
+
+def _forest(links: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Those links that connect what was not connected yet."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while x in up:
+            x = up[x]
+        return x
+    for a, b in links:
+        a_, b_ = find(a), find(b)
+        if a_ != b_:
+            up[max(a_, b_)] = min(a_, b_)
+            yield a, b
+
+
+def _text_sets(texts: pa.Array | list) -> list[np.ndarray]:
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
+    return [s for rows, data, bounds in pieces([batch], "text") for s in _sets(rows, data, bounds)]
+
+
+def _block_links(rows: pa.Table) -> pa.Table:
+    """Spanning links of the rows of one pair of blocks."""
+    number = rows.column("row").to_pylist()
+    sets = _text_sets(rows.column("text").to_pylist())
+    n = np.array([len(s) for s in sets])
+    i, j, both = _overlaps(sets)
+    good = 100 * both >= THRESHOLD * (n[i] + n[j] - both)
+    found = list(_forest(zip(i[good].tolist(), j[good].tolist(), strict=True)))
+    return pa.table({"a": pa.array([number[x] for x, _ in found], pa.int64()), "b": pa.array([number[y] for _, y in found], pa.int64())})
+
+
+def _lead_links(met: DataFrame) -> DataFrame:
+    """Which rows (row, text) link with the lead of their family (lead, lead_text)."""
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = {}
-            for side in ("a", "b"):
-                sets[side] = []
-                for rows, data, bounds in pieces([batch], f"text_{side}"):
-                    grams, firsts = shingles(*TOKEN.hashes(data, bounds), N)
-                    sets[side] += [grams[firsts[k]:firsts[k + 1]] for k in range(rows.num_rows)]
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            known: dict[int, np.ndarray] = {}
+            leads = batch.column("lead").to_pylist()
+            at = {x: k for k, x in enumerate(leads)}  # one text of each lead is enough
+            for x, s in zip(at, _text_sets([batch.column("lead_text")[k].as_py() for k in at.values()]), strict=True):
+                known[x] = s
             good = []
-            for k in range(batch.num_rows):
-                if a[k] != last:  # the pairs of a pivot come one after the other
-                    last, own = a[k], np.unique(sets["a"][k])
-                other = np.unique(sets["b"][k])
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                good.append(100 * both >= THRESHOLD * (len(own) + len(other) - both))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(good)) for c in (batch.column("a"), batch.column("b"))], ["a", "b"])
-
-    return met.select("a", "b", "text_a", "text_b").mapInArrow(verified, "a bigint, b bigint")
+            for x, s in zip(leads, _text_sets(batch.column("text").to_pylist()), strict=True):
+                both = len(np.intersect1d(known[x], s, assume_unique=True))
+                good.append(100 * both >= THRESHOLD * (len(known[x]) + len(s) - both))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in (batch.column("lead"), batch.column("row"))], ["a", "b"])
+    return met.select("row", "text", "lead", "lead_text").mapInArrow(test, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -178,50 +257,52 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def row_links(columns: DataFrame, texts: DataFrame) -> DataFrame:
-    """``row, label`` of all rows with a link: the rounds of step 4."""
-    spark = columns.sparkSession
-    links = labels = tested = None
-    pivots, order = 1, F.xxhash64("row")
-    place = F.pmod(order, F.lit(1 << 40)) / float(1 << 40)
-    while True:
-        if labels is None:
-            named = columns.withColumn("label", F.col("row"))
-        else:
-            named = columns.drop("label").join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
-        # Columns with rows of two components at least, and the row of smallest hash, which is always a pivot.
-        live = (named.groupBy("gram")
-                .agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("x"), F.max("label").alias("y"),
-                     F.min(F.struct(order.alias("order"), F.col("row").alias("row")))["row"].alias("lead"))
-                .where("x <> y").select("gram", "rows", "lead"))
-        named = staged(named.join(live, "gram"), "open-columns")
-        is_pivot = F.col("row") == F.col("lead")
-        if pivots > 1:
-            is_pivot = is_pivot | (place < F.lit(float(pivots)) / F.col("rows"))
-        leads = named.where(is_pivot).select("gram", F.col("row").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"))
-        fits = (F.col("n") * 100 >= F.col("pn") * THRESHOLD) & (F.col("pn") * 100 >= F.col("n") * THRESHOLD)
-        pairs = (named.join(leads, "gram").where((F.col("label") != F.col("pl")) & fits)
-                 .select(F.least("row", "p").alias("a"), F.greatest("row", "p").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        if pairs.limit(1).count():
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            found = staged(_links(pairs, texts), "found")
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
-        # In a column of no more rows than pivots every row has been one; of two rows, one is enough.
-        columns = named.where(F.col("rows") > max(2, pivots)).drop("rows", "lead")
-        if not columns.limit(1).count():
-            return labels if labels is not None else spark.createDataFrame([], "row bigint, label bigint")
-        pivots *= 8
+    """``row, label`` of all rows with a link: step 4."""
+    leads = columns.groupBy("gram").agg(F.min("row").alias("b"))
+    stars = columns.join(leads, "gram").where(F.col("row") != F.col("b")).select(F.col("row").alias("a"), "b")
+    families = components(stars).withColumnRenamed("label", "family")
+    rows = staged(columns.groupBy("row").agg(F.first("n").alias("n")).join(families, "row"), "families")
+    sizes = staged(rows.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("n", "row")).alias("lead"))
+                   .select("family", "members", F.col("lead.row").alias("lead")), "family-sizes")
+    large = sizes.where(F.col("members") > BLOCK)
+
+    # Large families: who links with the lead.
+    members = rows.join(large, "family")
+    lead_texts = large.select("lead").join(texts.select(F.col("row").alias("lead"), F.col("text").alias("lead_text")), "lead")
+    starred = staged(_lead_links(members.where(F.col("row") != F.col("lead")).select("row", "lead").join(texts, "row").join(lead_texts, "lead")),
+                     "lead-links")
+    core = starred.select(F.col("b").alias("row")).unionByName(large.select(F.col("lead").alias("row"))).withColumn("core", F.lit(True))
+    # Neighbouring classes may link; a row of the next but one is more than a quarter larger.
+    size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / THRESHOLD)) + 1e-9).cast("int")
+    members = (members.join(core, "row", "left").withColumn("core", F.coalesce("core", F.lit(False)))
+               .withColumn("class", size_class).select("row", "family", "core", "class"))
+    counts = members.groupBy("family", "core", "class").agg(F.count(F.lit(1)).alias("count"))
+    counts = staged(counts.withColumn("parts", F.ceil(F.col("count") / BLOCK).cast("int")), "blocks")
+    members = (members.join(counts.drop("count"), ["family", "core", "class"])
+               .withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")))
+    blocks = counts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("family", "core", "class", "part")
+    name = F.xxhash64("family", "core", "class", "part")
+    left, right = blocks.withColumn("x", name), blocks.withColumn("y", name)
+    pairs = (left.alias("l").join(right.alias("r"), "family")
+             .where((F.col("x") <= F.col("y")) & ~(F.col("l.core") & F.col("r.core"))
+                    & (F.abs(F.col("l.class") - F.col("r.class")) <= 1)).select("x", "y"))
+    pairs = pairs.withColumn("pair", F.xxhash64("x", "y"))
+    sides = pairs.select(F.col("x").alias("block"), "pair").unionByName(pairs.where("x <> y").select(F.col("y").alias("block"), "pair"))
+    placed = members.select("row", name.alias("block")).join(sides, "block").select("row", "pair")
+
+    # Small families: whole, several to a block.
+    small = rows.join(sizes.where(F.col("members") <= BLOCK), "family").select("row", "family")
+    groups = 1 + small.count() // BLOCK
+    placed = placed.unionByName(small.select("row", F.pmod(F.xxhash64("family"), F.lit(groups)).alias("pair")))
+    found = placed.join(texts, "row").groupBy("pair").applyInArrow(_block_links, "a bigint, b bigint")
+    return components(staged(found, "block-links").unionByName(starred))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = staged(matrix_rows(docs), "matrix-rows")
-    columns = candidate_columns(docs)
-    wanted = staged(columns.select("row").distinct(), "wanted")
+    wanted = candidate_rows(docs)
     # One document for each row that is still in question; its text is what pairs are verified on.
     speakers = staged(rows.join(short(wanted), "row").groupBy("row").agg(F.min("doc_id").alias("doc_id")), "speakers")
     met = docs.join(short(speakers.where("doc_id is not null")), "doc_id").select("row", "text")
@@ -229,7 +310,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     met = met.unionByName(docs.where("doc_id is null").select("text").mapInArrow(_numbered, "row bigint, text string")
                           .join(nameless, "row"))
     texts = staged(_own_rows(met), "texts")
-    labels = row_links(columns, texts)
+    labels = row_links(candidate_columns(texts), texts)
     named = rows.join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
     return _with_components(named)
 

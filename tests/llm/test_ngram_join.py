@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
 
+import pytest
+
 from tallyloom.llm import ngram_join
 
 from . import cases
@@ -47,8 +49,10 @@ def test_edge_cases(spark):
     assert got(spark, []) == []
 
 
-def test_families_chains_and_passages(spark):
+@pytest.mark.parametrize("block", [256, 8])
+def test_families_chains_and_passages(spark, monkeypatch, block):
     """Copies with different numbers of edits, some of which link only through others, and a passage in half of all rows."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
     rng = random.Random(4)
     rows, passage = [], cases.words(77, 50)
     for family in range(6):
