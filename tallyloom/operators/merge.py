@@ -5,8 +5,10 @@ Rows come stacked, one all-text DataFrame with these service columns:
     _rank  precedence of the source, 1 first
     _file  name of the source
     _row   position of the row in its source
+    _part  0, or 1, 2 ... for further cells of a row whose column repeats in its
+           source (may be left out)
 
-The first non-empty value in (rank, row) order wins, cell by cell.
+The first non-empty value in (rank, row, part) order wins, cell by cell.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_blank, norm_key, squeeze, strip
 from .keyed import attach_by_key, row_numbers
 
-SERVICE = ("_rank", "_file", "_row")
+SERVICE = ("_rank", "_file", "_row", "_part")
 
 
 def rank_names(names: Sequence[str]) -> dict[str, int]:
@@ -54,13 +56,15 @@ def data_columns(stacked: DataFrame) -> list[str]:
 def identify(stacked: DataFrame, key: str) -> DataFrame:
     """Add ``_id``: the normalised key; a row without key is only itself."""
     blank = is_blank(F.col(f"`{key}`"))
+    if "_part" not in stacked.columns:
+        stacked = stacked.withColumn("_part", F.lit(0))
     return (stacked.withColumn("_blank", blank)
             .withColumn("_id", F.when(blank, F.concat_ws("#", F.lit(""), "_rank", "_row"))
                         .otherwise(norm_key(F.col(f"`{key}`")))))
 
 
 def _position() -> Column:
-    return F.struct("_rank", "_row")
+    return F.struct("_rank", "_row", "_part")
 
 
 def merge_sources(stacked: DataFrame, key: str) -> DataFrame:
@@ -89,7 +93,7 @@ def melt_cells(stacked: DataFrame, key: str) -> DataFrame:
     """One row per non-empty cell."""
     rows = identify(stacked, key)
     columns = data_columns(stacked)
-    return (rows.unpivot(["_id", "_blank", "_rank", "_file", "_row"], columns, "column", "value")
+    return (rows.unpivot(["_id", "_blank", "_rank", "_file", "_row", "_part"], columns, "column", "value")
             .where(~is_blank("value")))
 
 
@@ -134,7 +138,7 @@ def key_spelling(stacked: DataFrame, key: str) -> DataFrame:
 
 def key_variants(stacked: DataFrame, key: str) -> DataFrame:
     """Keys that met only because of normalisation: kept, other, how often."""
-    rows = identify(stacked, key).where(~F.col("_blank"))
+    rows = identify(stacked, key).where(~F.col("_blank") & (F.col("_part") == 0))
     spellings = (rows.groupBy("_id", F.col(f"`{key}`").alias("other"))
                  .agg(F.count(F.lit(1)).alias("n"), F.min(_position()).alias("_at")))
     kept = (spellings.groupBy("_id")
@@ -156,9 +160,10 @@ def contributors(stacked: DataFrame, key: str) -> DataFrame:
 def merge_stats(stacked: DataFrame, key: str) -> DataFrame:
     """Rows in and out, columns, blank keys and conflicts as one row."""
     rows = identify(stacked, key)
-    totals = rows.agg(F.count(F.lit(1)).alias("rows_in"),
+    whole = F.col("_part") == 0
+    totals = rows.agg(F.count_if(whole).alias("rows_in"),
                       F.countDistinct("_id").alias("rows_out"),
-                      F.count_if("_blank").alias("blank_keys"))
+                      F.count_if(F.col("_blank") & whole).alias("blank_keys"))
     lost = merge_conflicts(stacked, key).agg(F.count(F.lit(1)).alias("n"))
     return totals.select("rows_in", "rows_out", "blank_keys",
                          F.lit(len(data_columns(stacked))).cast("bigint").alias("columns"),

@@ -41,7 +41,7 @@ def _stacked(spark: SparkSession, base: str) -> DataFrame:
 @query("extract_scan", """SELECT c_name AS "Kunden-Nr", c_mktsegment AS "Segment", CASE WHEN c_acctbal > 0 THEN 'Müller; "GmbH"' ELSE '-' END AS "Firma", NULL AS "Auftrag" FROM customer
 UNION ALL SELECT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0'), o_orderpriority, NULL, CAST(o_orderkey AS VARCHAR) FROM orders""")
 def _scan(spark, sf):
-    return _stacked(spark, write_extracts(spark, sf)).drop("_rank", "_file", "_row")
+    return _stacked(spark, write_extracts(spark, sf)).where("_part = 0").drop("_rank", "_file", "_row", "_part")
 
 
 @query("extract_merge", """WITH o AS (SELECT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS k, COUNT(*) AS n FROM orders GROUP BY 1)
@@ -56,9 +56,9 @@ def _scan_merge(spark, sf):
 UNION ALL SELECT 'Kunden-Nr', 'b', 'Auftrag,Kunden-Nr,Segment', 'utf-8-sig', chr(9), TRUE FROM orders HAVING COUNT(*) > 0""")
 def _headers(spark, sf):
     base = write_extracts(spark, sf)
-    rows = [(d.key_header, name, ",".join(sorted(d.header)), d.encoding, d.delimiter, d.exact)
-            for name in ("a", "b") for d in E.detect_dialects(spark, f"{base}/{name}", KEY)]
-    return spark.createDataFrame(rows, "key_header string, source string, headers string, encoding string, delimiter string, exact boolean").distinct()
+    both = [E.file_dialects(spark, f"{base}/{name}", KEY).withColumn("source", F.lit(name)) for name in ("a", "b")]
+    return both[0].unionByName(both[1]).select(
+        "key_header", "source", F.array_join(F.array_sort("header"), ",").alias("headers"), "encoding", "delimiter", "exact").distinct()
 
 
 @query("source_manifest", """SELECT 'a' AS source, COUNT(*) AS rows, TRUE AS checked FROM customer UNION ALL SELECT 'b', COUNT(*), TRUE FROM orders""")
@@ -96,7 +96,7 @@ def _sink(spark, sf):
 def _delimited(spark, sf):
     path = stage_path(spark, "merged")
     S.write_csv(table(spark, sf, "customer").select(F.col("c_name").alias(KEY), F.concat("c_mktsegment", F.lit('; "x"')).alias("Segment"), F.lit("").alias("Leer")), path)
-    return E.read_extracts(spark, path, KEY).drop("_rank", "_file", "_row")
+    return E.read_extracts(spark, path, KEY).where("_part = 0").drop("_rank", "_file", "_row", "_part")
 
 
 @query("record_sink", """SELECT replace(lower(c_mktsegment), ' ', '-') AS "group", c_custkey AS project_id, c_name AS name FROM customer""")

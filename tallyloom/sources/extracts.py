@@ -1,27 +1,30 @@
 """CSV extracts of many origins, each with its own dialect.
 
-Encoding and quoting are voted on over all lines of a file; delimiter and
-header row come from its first lines. Every file is then read by Spark's CSV
-reader, split across tasks unless quoted line breaks forbid it.
+Encoding and quoting are voted on over all lines of a file. Delimiter and header
+are found in its first records by column functions: the delimiter is the sign
+that stands equally often, outside quotes, in most of them; the header is the
+first record with a cell that names the key. Files of one layout are then one
+read by Spark's CSV reader, split across tasks unless quoted line breaks forbid
+it, with or without lines above the header.
 """
 
 from __future__ import annotations
 
-import csv
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import strip
+from ..functions.text import norm_key, strip
 from ..operators.merge import rank_names
+from ..session import stage_path
 
 # Fixed values of the extract format.
 DELIMITERS = ";,\t|"
 HEADER_SEARCH_ROWS = 50
-SNIFF_CHARS = 8192
+# Lines looked at for those records; a file whose header lies behind them is refused.
+HEAD_LINES = 10_000
 OUTPUT_NAMES = ("merged.csv", "merge_conflicts.csv", "merge_manifest.json")
 
 # The 32 code points where cp1252 and latin-1 differ, from the codec itself.
@@ -38,36 +41,13 @@ class Dialect:
     encoding: str
     delimiter: str
     multiline: bool
-    header_row: int           # 0-based, among the records that are not blank
+    header_row: int           # records above the header that the CSV reader sees
     header_line: int          # 1-based, in the file
     exact: bool
     key_header: str
     header: tuple[str, ...]
 
 
-def sniff_delimiter(sample: str) -> str:
-    """The delimiter of a sample, else the most frequent one, else a comma."""
-    try:
-        return csv.Sniffer().sniff(sample, delimiters=DELIMITERS).delimiter
-    except csv.Error:
-        best = max(DELIMITERS, key=sample.count)
-        return best if sample.count(best) else ","
-
-
-def _norm(header: str) -> str:
-    return " ".join(header.split()).casefold()
-
-
-def locate_header(rows: list[list[str]], key: str) -> tuple[int, bool] | None:
-    """First of the top rows that holds the key cell: exactly, else by case
-    and spacing. Gives (row, exact) or None."""
-    for exact, test in ((True, lambda c: c.strip() == key), (False, lambda c: _norm(c) == _norm(key))):
-        for i, row in enumerate(rows[:HEADER_SEARCH_ROWS]):
-            if any(test(c) for c in row):
-                return i, exact
-    return None
-
-
 def _odd_quotes(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
@@ -89,53 +69,97 @@ def file_votes(spark: SparkSession, directory: str) -> DataFrame:
         F.min(F.when(F.col("start") == 0, F.col("at"))).alias("first"))
 
 
-_FOUND_DDL = ("file string, path string, encoding string, delimiter string, multiline boolean, header_row int, "
-              "header_line int, exact boolean, key_header string, header array<string>, problem string")
-
-
-def _inspect(key: str):
-    """Dialect of each file from its first lines; one small list per file."""
-    def look(batches):
-        for batch in batches:
-            found = []
-            for r in batch.itertuples(index=False):
-                encoding = "utf-8-sig" if r.utf8 else ("latin-1" if r.latin_only else "cp1252")
-                lines = [bytes(v).decode(encoding, "replace") for v in r.lines]
-                delimiter = sniff_delimiter("\n".join(lines)[:SNIFF_CHARS])
-                rows = list(csv.reader([f"{line}\n" for line in lines], delimiter=delimiter))
-                place = locate_header(rows, key)
-                if place is None:
-                    seen = ", ".join(rows[0][:12]) if rows else "(file is empty)"
-                    found.append((r.file, r.path, encoding, delimiter, r.multiline, None, None, None, None, None,
-                                  f"{r.file}: no column named {key!r}, columns found: {seen}"))
-                    continue
-                at, exact = place
-                header = [c.strip() for c in rows[at]]
-                while header and not header[-1]:
-                    header.pop()
-                key_header = next(c for c in header if c == key or _norm(c) == _norm(key))
-                blank = sum(1 for row in rows[:at] if not "".join(row).strip())
-                found.append((r.file, r.path, encoding, delimiter, r.multiline, at - blank, at + 1, exact,
-                              key_header, header, None))
-            yield pd.DataFrame(found, columns=[c.split()[0] for c in _FOUND_DDL.split(", ")])
-    return look
+def _decoded(encoding: Column) -> Column:
+    raw = F.col("value").cast("binary")
+    latin = F.decode(raw, "ISO-8859-1")
+    cp1252 = F.translate(latin, "".join(a for a, _ in _CP1252), "".join(b for _, b in _CP1252))
+    utf8 = F.regexp_replace(F.decode(raw, "UTF-8"), "^\ufeff", "")
+    return F.when(encoding == "utf-8-sig", utf8).when(encoding == "cp1252", cp1252).otherwise(latin)
 
 
-def detect_dialects(spark: SparkSession, directory: str, key: str) -> list[Dialect]:
-    """One dialect per source file. Only these few facts reach the driver."""
+def _records(lines: Column) -> Column:
+    """Lines to records: a line with a quote left open goes on in the next one."""
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"))
+
+    def step(acc: Column, line: Column) -> Column:
+        whole = F.concat_ws("\n", acc["open"], line)
+        ended = ~_odd_quotes(whole)
+        full = F.size(acc["done"]) >= HEADER_SEARCH_ROWS
+        return F.when(full, acc).otherwise(F.struct(
+            F.when(ended, F.array_append(acc["done"], whole)).otherwise(acc["done"]).alias("done"),
+            F.when(~ended, whole).alias("open")))
+    return F.aggregate(lines, start, step, lambda acc: F.array_compact(F.when(
+        acc["open"].isNotNull() & (F.size(acc["done"]) < HEADER_SEARCH_ROWS), F.array_append(acc["done"], acc["open"])).otherwise(acc["done"])))
+
+
+# A quoted part, matched without going back, however long it is.
+_QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
+
+
+def _best_delimiter(records: Column) -> Column:
+    """The sign with the same number in most records, then the one with most of them; a comma if none occurs."""
+    bare = F.filter(F.transform(records, lambda r: F.regexp_replace(r, _QUOTED + "?", "")), lambda r: F.trim(r) != "")
+
+    def vote(rank: int, sign: str) -> Column:
+        counts = F.filter(F.transform(bare, lambda r: F.length(r) - F.length(F.replace(r, F.lit(sign), F.lit("")))), lambda n: n > 0)
+        return F.array_max(F.transform(F.array_distinct(counts), lambda n: F.struct(
+            F.size(F.filter(counts, lambda m: m == n)).alias("records"), n.alias("signs"), F.lit(-rank).alias("rank"),
+            F.lit(sign).alias("sign"))))
+    votes = F.array(*[vote(rank, sign) for rank, sign in enumerate(DELIMITERS)])
+    return F.coalesce(F.array_max(F.array_compact(votes))["sign"], F.lit(","))
+
+
+def _cells(record: Column, sign: str) -> Column:
+    """Cells of one record, quotes taken off, white space trimmed."""
+    other = f"[^\\{sign}]*+"
+    parts = F.regexp_extract_all(F.concat(F.lit(sign), record), F.lit(f"\\{sign}(\\s*+{_QUOTED}{other}|{other})"), F.lit(1))
+    parts = F.transform(parts, lambda c: strip(c))
+    plain = lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c)
+    return F.transform(parts, lambda c: strip(plain(c)))
+
+
+def file_dialects(spark: SparkSession, directory: str, key: str) -> DataFrame:
+    """One row per source file: how it is written, and where its header is (``header`` NULL: nowhere)."""
+    path = stage_path(spark, "votes")
     votes = file_votes(spark, directory)
+    votes.write.parquet(path)
+    votes = spark.read.schema(votes.schema).parquet(path)
+    encoding = F.when(F.col("utf8"), "utf-8-sig").when(F.col("latin_only"), "latin-1").otherwise("cp1252")
     heads = (_lines(spark, directory).where(F.col("start") == 0)
-             .join(votes.select("file", "path", "first"), ["file", "path"])
-             .where(F.col("at") - F.col("first") < 4 * HEADER_SEARCH_ROWS)
-             .groupBy("file", "path").agg(F.array_sort(F.collect_list(F.struct("at", F.col("value").cast("binary").alias("v")))).alias("l"))
-             .select("file", "path", F.transform("l", lambda x: x["v"]).alias("lines")))
-    rows = (votes.drop("first").join(heads, ["file", "path"])
-            .mapInPandas(_inspect(key), _FOUND_DDL).collect())
+             .join(votes.select("file", "path", "first", encoding.alias("encoding")), ["file", "path"])
+             .where(F.col("at") - F.col("first") < HEAD_LINES)
+             .groupBy("file", "path").agg(F.array_sort(F.collect_list(F.struct("at", _decoded(F.col("encoding")).alias("v")))).alias("l"))
+             .select("file", "path", _records(F.transform("l", lambda x: x["v"])).alias("records")))
+    found = heads.withColumn("delimiter", _best_delimiter(F.col("records")))
+    split = lambda sign: F.transform("records", lambda r: _cells(r, sign))
+    found = found.withColumn("cells", F.coalesce(*[F.when(F.col("delimiter") == sign, split(sign)) for sign in DELIMITERS]))
+    wanted = F.lit(key)
+    place = lambda test: F.array_min(F.filter(F.transform("cells", lambda c, i: F.when(F.exists(c, test), i)), lambda i: i.isNotNull()))
+    exactly, alike = place(lambda c: c == wanted), place(lambda c: norm_key(c) == norm_key(wanted))
+    found = found.withColumn("at", F.coalesce(exactly, alike)).withColumn("exact", exactly.isNotNull())
+    header = F.get("cells", F.col("at"))
+    named = F.array_max(F.filter(F.transform(header, lambda c, i: F.when(c != "", i)), lambda i: i.isNotNull()))
+    header = F.slice(header, F.lit(1), named + 1)  # without the empty cells at its end
+    above = F.slice("records", F.lit(1), F.greatest(F.col("at"), F.lit(0)))
+    seen = F.size(F.filter(above, lambda r: F.trim(r, F.lit(" \t\r")) != ""))
+    lines = F.aggregate(above, F.lit(1), lambda n, r: n + F.size(F.split(r, "\n", -1)))
+    return (votes.drop("first").withColumn("encoding", encoding).join(found, ["file", "path"], "left")
+            .select("file", "path", "encoding", "delimiter", "multiline", F.when(F.col("at").isNotNull(), seen).alias("header_row"),
+                    F.when(F.col("at").isNotNull(), lines).alias("header_line"), "exact",
+                    F.get(F.filter(header, lambda c: F.when(F.col("exact"), c == wanted).otherwise(norm_key(c) == norm_key(wanted))),
+                          F.lit(0)).alias("key_header"), header.alias("header"),
+                    F.array_join(F.slice(F.get("cells", F.lit(0)), 1, 12), ", ").alias("first_cells")))
+
+
+def detect_dialects(spark: SparkSession, directory: str, key: str) -> list[Dialect]:
+    """One dialect per source file. Only these few facts reach the driver."""
+    rows = file_dialects(spark, directory, key).collect()
     if not rows:
         raise FileNotFoundError(f"no source CSVs in {directory}")
-    problems = sorted(r["problem"] for r in rows if r["problem"])
-    if problems:
-        raise ValueError("\n".join(problems))
+    lost = sorted(r["file"] + ": " + (f"no cell {key!r} in the first {HEADER_SEARCH_ROWS} records; it begins with {r['first_cells']}"
+                                      if r["first_cells"] else "nothing in it") for r in rows if r["header"] is None)
+    if lost:
+        raise ValueError("\n".join(lost))
     ranks = rank_names([r["file"] for r in rows])
     return [Dialect(r["file"], r["path"], ranks[r["file"]], r["encoding"], r["delimiter"], r["multiline"], r["header_row"],
                     r["header_line"], r["exact"], r["key_header"], tuple(r["header"]))
@@ -155,39 +179,62 @@ def read_dialect(spark: SparkSession, files: list[Dialect]) -> DataFrame:
            .option("header", d.header_row == 0).option("multiLine", d.multiline).csv([f.path for f in files]))
     at = F.monotonically_increasing_id()
     start = F.col("_metadata.file_block_start").cast("decimal(19,0)")
-    rows = raw.select("*", F.col("_metadata.file_name").alias("_file"), at.alias("_at"),
+    rows = raw.select("*", F.col("_metadata.file_name").alias("_file"), at.alias("_at"), F.col("_metadata.file_block_start").alias("_start"),
                       (start * F.lit("9223372036854775808").cast("decimal(19,0)") + at).cast("decimal(38,0)").alias("_row"))
     if d.header_row:
-        # A file with a title is read alone: ids count its records from 0.
-        rows = rows.where(F.col("_at") > d.header_row)
-    cells: dict[str, Column] = {}
+        # Records are counted from the first one of each file, wherever a task begins.
+        first = (rows.where(F.col("_start") == 0).groupBy("_file").agg(F.min("_at").alias("_first"))
+                 .withColumnRenamed("_file", "_of"))
+        rows = (rows.join(F.broadcast(first), F.col("_file") == F.col("_of"))  # one row per file of the listing
+                .where((F.col("_start") != 0) | (F.col("_at") - F.col("_first") > d.header_row)))
+    cells: list[tuple[str, Column]] = []
     for i, name in enumerate(d.header):
         cell = F.coalesce(F.col(f"_c{i}"), F.lit(""))
         if d.encoding == "cp1252":
             cell = F.translate(cell, "".join(a for a, _ in _CP1252), "".join(b for _, b in _CP1252))
         if name:
-            # A header that repeats inside one file fills its own gaps.
-            cells[name] = strip(cell) if name not in cells else F.coalesce(F.nullif(cells[name], F.lit("")), strip(cell))
+            cells.append((name, strip(cell)))
     filled = F.lit(False)
     for c in schema.names:
         filled = filled | (strip(F.coalesce(F.col(c), F.lit(""))) != "")
     # One row per file of the listing.
     ranks = spark.createDataFrame([(f.file, f.rank) for f in files], "_file string, _rank int")
-    return (rows.where(filled).join(F.broadcast(ranks), "_file")
-            .select("_rank", "_file", "_row", *[c.alias(n) for n, c in cells.items()]))
+    rows = rows.where(filled).join(F.broadcast(ranks), "_file")
+    once: dict[str, Column] = {}
+    again: dict[str, list[Column]] = {}
+    for name, cell in cells:
+        if name in once:
+            again.setdefault(name, []).append(cell)
+        else:
+            once[name] = cell
+    if not again:
+        return rows.select("_rank", "_file", "_row", F.lit(0).alias("_part"), *[c.alias(n) for n, c in once.items()])
+    # A header that repeats in a file: each further cell is a row part of its own, so that it
+    # fills a gap or shows as a conflict like the cell of a later source.
+    depth = max(map(len, again.values()))
+    parts = [F.struct(F.lit(0).alias("_part"), *[c.alias(n) for n, c in once.items()])]
+    for k in range(depth):
+        more = {n: c[k] for n, c in again.items() if k < len(c)}
+        own = [more.get(n, once[n] if n == d.key_header else F.lit("")).alias(n) for n in once]
+        some = F.lit(False)
+        for c in more.values():
+            some = some | (c != "")
+        parts.append(F.when(some, F.struct(F.lit(k + 1).alias("_part"), *own)))
+    return (rows.select("_rank", "_file", "_row", F.explode(F.array_compact(F.array(*parts))).alias("_p"))
+            .select("_rank", "_file", "_row", "_p.*"))
 
 
 def read_extracts(spark: SparkSession, directory: str, key: str) -> DataFrame:
     """All sources of a directory, stacked in precedence order.
 
-    A file that spells the key column differently still fills ``key``.
+    A file that spells the key column differently still fills ``key``. ``_part`` is 0
+    but for the further cells of a header that repeats in a file (1, 2, ...).
     """
     dialects = detect_dialects(spark, directory, key)
-    # Files that look alike are one read; a file with a title is its own.
+    # Files that look alike are one read.
     alike: dict[tuple, list[Dialect]] = {}
     for d in dialects:
-        own = d.path if d.header_row else ""
-        alike.setdefault((d.encoding, d.delimiter, d.multiline, d.header, own), []).append(d)
+        alike.setdefault((d.encoding, d.delimiter, d.multiline, d.header, d.header_row), []).append(d)
     stacked = None
     for files in alike.values():
         part = read_dialect(spark, files)
@@ -195,7 +242,7 @@ def read_extracts(spark: SparkSession, directory: str, key: str) -> DataFrame:
             part = part.withColumnRenamed(files[0].key_header, key)
         stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
     columns = list(dict.fromkeys(key if h == d.key_header else h for d in dialects for h in d.header if h))
-    return stacked.select("_rank", "_file", "_row", *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
+    return stacked.select("_rank", "_file", "_row", "_part", *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
 
 
 def extract_headers(spark: SparkSession, dialects: list[Dialect]) -> DataFrame:
@@ -211,7 +258,7 @@ def source_manifest(spark: SparkSession, directory: str, key: str, digest: bool
     dialects = detect_dialects(spark, directory, key)
     facts = spark.createDataFrame([(d.file, d.rank, d.encoding, d.delimiter, d.header_line) for d in dialects],
                                   "file string, rank int, encoding string, delimiter string, header_row int")
-    rows = read_extracts(spark, directory, key).groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    rows = read_extracts(spark, directory, key).where("_part = 0").groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
     out = facts.join(rows, "file", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
     if digest:
         sums = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(directory)
