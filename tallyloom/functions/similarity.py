@@ -53,8 +53,11 @@ def closest_by_ratio(c, options: Sequence[str], cutoff: float = SUGGESTION_RATIO
 
 def closest_by_edits(c, options: Sequence[str], cutoff: float = SUGGESTION_RATIO) -> Column:
     """As above with edit similarity: the best, then the first by name."""
-    c = col(c)
-    words = F.array(*[F.lit(str(o)) for o in sorted(set(options))])
+    return closest_word(col(c), F.array(*[F.lit(str(o)) for o in sorted(set(options))]), cutoff)
+
+
+def closest_word(c: Column, words: Column, cutoff: float = SUGGESTION_RATIO) -> Column:
+    """As above, among the words of an array column."""
     scored = F.transform(words, lambda w: F.struct((-edit_similarity(c, w)).alias("score"),
                                                    w.alias("word")))
     best = F.array_min(scored)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.known import is_known
 from ..functions.numbers import percent
-from ..functions.similarity import closest_by_edits
+from ..functions.similarity import closest_by_edits, closest_word
 from ..functions.text import UNKNOWN
 from ..schema import (ANNOTATIONS, DATE_SHAPE, ID_SHAPE, SCHEMA_VERSION, VERSION_SHAPE, walk)
 from .keyed import attach_by_key, small_side
@@ -309,10 +309,16 @@ def check_lists(leaves: DataFrame, dims: DataFrame, source: str | None = None) -
     if source:
         rows, codes = rows.where(F.col("source") == source), codes.where(F.col("source") == source)
     rows = rows.join(small_side(codes), ["source", "group", "value"], "left_anti")
+    # Each different wrong value is looked up once among the codes of its own list.
+    lists = codes.groupBy("source", "group").agg(F.array_sort(F.collect_set("value")).alias("words"))
+    wrong = rows.groupBy("source", "group", "value").agg(F.count(F.lit(1)).alias("_n")).join(small_side(lists), ["source", "group"], "left")
+    best = closest_word(F.col("value"), F.col("words"))
+    fix = F.coalesce(F.concat(F.lit("did you mean: "), best), F.concat(F.lit("valid values: "), F.array_join("words", ", ")))
+    rows = attach_by_key(rows, wrong.select("source", "group", "value", fix.alias("fix"), "_n"), ["source", "group", "value"], weight="_n")
     coded = F.col("source") == "taxonomy"
     return finding(rows, ERROR, F.when(coded, F.lit("ref.unknown-code")).otherwise(F.concat(F.lit("ref.unknown-"), "group")),
                    F.col("path"), F.concat(_leaf_name(), F.lit(": '"), "value", F.when(coded, F.lit("' is not a known code"))
-                                           .otherwise(F.concat(F.lit("' is not in "), "group"))))
+                                           .otherwise(F.concat(F.lit("' is not in "), "group"))), F.col("fix"))
 
 
 def check_codes(leaves: DataFrame, dims: DataFrame) -> DataFrame:
@@ -334,9 +340,27 @@ def check_dangling(leaves: DataFrame, ids: DataFrame) -> DataFrame:
     edges = leaves.where(F.col("ref") == "projects").select("file", "path", "value")
     targets = edges.groupBy("value").agg(F.count(F.lit(1)).alias("_n"))
     missing = targets.join(ids.select(F.col(ids.columns[0]).alias("value")).distinct(), "value", "left_anti")
+    missing = missing.join(_one_edit_away(missing, ids), "value", "left")
     rows = attach_by_key(edges, missing, ["value"], weight="_n")
     return finding(rows, ERROR, "ref.unknown-projects", F.col("path"),
-                   F.concat(_leaf_name(), F.lit(": depends on '"), "value", F.lit("', which is not a known project")))
+                   F.concat(_leaf_name(), F.lit(": depends on '"), "value", F.lit("', which is not a known project")),
+                   F.concat(F.lit("did you mean: "), "near"))
+
+
+def _one_edit_away(missing: DataFrame, ids: DataFrame) -> DataFrame:
+    """``value, near``: the first id by name that one insertion, deletion or replacement makes of a value.
+
+    Two such words share what is left when one letter is taken out of the one, the
+    other or both. So they meet by an equal key, never all with all."""
+    def shortened(word: str) -> Column:
+        w = F.col(word)
+        cut = F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))),
+                          lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+        return F.explode(F.array_distinct(F.array_append(cut, w)))
+    known = ids.select(F.col(ids.columns[0]).alias("near")).distinct()
+    left = missing.select("value", shortened("value").alias("_key"))
+    met = left.join(known.select("near", shortened("near").alias("_key")), "_key")
+    return met.where(F.levenshtein("value", "near") == 1).groupBy("value").agg(F.min("near").alias("near"))
 
 
 def check_duplicate_ids(ids: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.similarity import closest_by_edits, closest_by_ratio
+from ..functions.similarity import SUGGESTION_RATIO, closest_by_edits, closest_by_ratio
 from ..operators import graph as G
 from ..operators import validate as V
 from ..operators.rules import Rules, shipped_rules
@@ -56,8 +56,20 @@ TYPES_SQL = "\nUNION ALL ".join([
             "NULL", "o_orderstatus = 'F' AND o_totalprice > 450000")])
 
 
+def _advice(value: str, words: list[str]) -> str:
+    """SQL of the closest word, or of all of them."""
+    return (f"(SELECT CASE WHEN max(s) >= {SUGGESTION_RATIO} THEN 'did you mean: ' || first(w ORDER BY s DESC, w) "
+            f"ELSE 'valid values: ' || string_agg(w, ', ' ORDER BY w) END FROM (SELECT w, 1 - levenshtein({value}, w) / "
+            f"greatest(length({value}), length(w))::DOUBLE AS s FROM (SELECT unnest({words}) AS w)))")
+
+
+def _near_id(value: str) -> str:
+    return f"(SELECT 'did you mean: ' || min('o-' || i.o_orderkey) FROM orders i WHERE levenshtein('o-' || i.o_orderkey, {value}) = 1)"
+
+
 def _bad_code(path: str, name: str, value: str, where: str) -> str:
-    return _select("error", "'ref.unknown-code'", path, f"'{name}: ''' || {value} || ''' is not a known code'", "CAST(NULL AS VARCHAR)", where)
+    group = {"role": "datastore_role", "storage_classes": "storage_class", "status": "blocker_status"}.get(name, name)
+    return _select("error", "'ref.unknown-code'", path, f"'{name}: ''' || {value} || ''' is not a known code'", _advice(value, CODES[group]), where)
 
 
 CODES_SQL = "\nUNION ALL ".join([
@@ -69,13 +81,13 @@ CODES_SQL = "\nUNION ALL ".join([
     _bad_code("'_meta.confidence'", "confidence", "'imported'", "o_orderstatus <> 'P'")])
 DANGLING_SQL = "\nUNION ALL ".join([
     _select("error", "'ref.unknown-projects'", "'integration.depends_on[2]'",
-            "'depends_on: depends on ''c-' || o_custkey || ''', which is not a known project'", "CAST(NULL AS VARCHAR)", "o_orderpriority = '3-MEDIUM'"),
+            "'depends_on: depends on ''c-' || o_custkey || ''', which is not a known project'", _near_id("'c-' || orders.o_custkey"), "o_orderpriority = '3-MEDIUM'"),
     _select("error", "'ref.unknown-projects'", "'integration.depends_on[0]'",
-            "'depends_on: depends on ''o-' || (o_orderkey + 1) || ''', which is not a known project'", "NULL",
+            "'depends_on: depends on ''o-' || (o_orderkey + 1) || ''', which is not a known project'", _near_id("'o-' || (orders.o_orderkey + 1)"),
             "o_orderkey + 1 NOT IN (SELECT o_orderkey FROM orders)")])
 REFERENCES_SQL = "\nUNION ALL ".join([
-    _select("error", "'ref.unknown-teams'", "'ownership.team_id'", "'team_id: ''team-O'' is not in teams'", "CAST(NULL AS VARCHAR)", "o_orderstatus = 'O'"),
-    _select("error", "'ref.unknown-sites'", "'placement.environments[1].datacenter'", "'datacenter: ''Q'' is not in sites'", "NULL", "o_orderstatus = 'P'"),
+    _select("error", "'ref.unknown-teams'", "'ownership.team_id'", "'team_id: ''team-O'' is not in teams'", _advice("'team-O'", ["team-P", "team-F", "unknown"]), "o_orderstatus = 'O'"),
+    _select("error", "'ref.unknown-sites'", "'placement.environments[1].datacenter'", "'datacenter: ''Q'' is not in sites'", _advice("'Q'", ["A", "R", "unknown"]), "o_orderstatus = 'P'"),
     DANGLING_SQL])
 
 
