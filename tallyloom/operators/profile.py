@@ -8,7 +8,7 @@ time costs one row per task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
@@ -264,8 +264,11 @@ def suffix_unit(field: Column, unit: Column) -> Column:
     return F.when(suffix.isNotNull() & ~said, F.concat_ws("_", field, suffix)).otherwise(field)
 
 
-def profile_columns(counts: DataFrame, stages: Stages | None = None) -> DataFrame:
-    """One row per column: fill, distinct, unit, locale, separator and kind."""
+def profile_columns(counts: DataFrame, stages: Stages | None = None, decimals: Mapping[str, str] | None = None) -> DataFrame:
+    """One row per column: fill, distinct, unit, locale, separator and kind.
+
+    ``decimals`` settles the number locale (``de`` or ``en``) of columns that the vote gets wrong.
+    """
     stages = stages or Stages(counts)
     votes, separators, tokens = stages.votes, stages.separators, stages.tokens
     token_stats = tokens.groupBy("index", "column").agg(
@@ -276,6 +279,11 @@ def profile_columns(counts: DataFrame, stages: Stages | None = None) -> DataFram
     units = detect_unit(votes)
     joined = (fill.join(votes, ["index", "column"], "left").join(separators, ["index", "column"], "left")
               .join(token_stats, ["index", "column"], "left").join(units, ["index", "column"], "left"))
+    if decimals:
+        said = F.create_map(*[F.lit(x) for pair in decimals.items() for x in pair])
+        chosen = F.try_element_at(said, F.col("column"))
+        joined = joined.withColumns({f"any_{k}": F.when(chosen.isNotNull(), chosen == k).otherwise(F.col(f"any_{k}"))
+                                     for k in ("de", "en", "open")})
     locale = N.decide_locale(F.col("any_de"), F.col("any_en"), F.col("any_open"))
     kind = classify()
     profiled = (joined.withColumn("_locale", locale).withColumn("kind", kind)

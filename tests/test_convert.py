@@ -74,3 +74,17 @@ def test_rows_of_equal_order_are_numbered_once_each(spark):
 def test_wide_values_are_not_small(spark):
     wide = spark.range(200).withColumn("t", F.repeat(F.lit("x"), 100_000))
     assert not is_small(wide) and is_small(spark.range(200)) and not is_small(spark.range(200), limit=100)
+
+
+def test_decimals_can_be_settled(spark):
+    counts = P.value_counts(spark.createDataFrame([("1.500",), ("2.500",)], "a string"), ["a"])
+    seen = lambda **k: P.profile_columns(counts, **k).first().number_locale
+    assert seen() == "ambiguous" and seen(decimals={"a": "de"}) == "de" and seen(decimals={"a": "en", "b": "de"}) == "en"
+
+
+def test_suggestions_are_one_edit_away(spark):
+    from tallyloom.operators.validate import _one_edit_away
+
+    missing = spark.createDataFrame([("paymnt",), ("payments",), ("pay",), ("x",)], "value string")
+    ids = spark.createDataFrame([("payment",), ("paymen",), ("pax",), ("",), ("yy",)], "id string")
+    assert {r.value: r.near for r in _one_edit_away(missing, ids).collect()} == {"paymnt": "payment", "payments": "payment", "pay": "pax", "x": ""}
