@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     decontaminate,
     fingerprints,
     language_id,
@@ -250,3 +251,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("bigint")
     return (of_pages.withColumn("doc_id", none).unionByName(of_docs.withColumn("page_id", none))
             .select("doc_id", "page_id", "text_lang", "lang", "confidence"))
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of the byte-level vocabulary laid on those of the piece model, in every whole document."""
+    return alignment.aligned(read(spark, sf_dir, "documents"))
