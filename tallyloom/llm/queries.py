@@ -15,6 +15,7 @@ from . import (
     mixing,
     ngram_join,
     quotes,
+    ranked_search,
     shards,
     substring_dedup,
     token_counts,
@@ -257,3 +258,33 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of the byte-level vocabulary laid on those of the piece model, in every whole document."""
     return alignment.aligned(read(spark, sf_dir, "documents"))
+
+
+@query("op12_ranked_search", """
+with docs as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+  from documents),
+sums as (select count(*)::bigint as all_docs, sum(len(terms))::bigint as all_terms from docs where len(terms) > 0),
+items as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                     'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+  from benchmark),
+tfs as (select r, term, count(*)::bigint as tf from (select r, unnest(terms) as term from docs)
+        where term in (select term from items) group by all),
+weights as (select term, floor(1000 * ln((2 * all_docs + 2)::double / (2 * count(*) + 1)))::bigint as w
+            from tfs, sums group by term, all_docs),
+norms as (select r, doc_id, 50 + (50 * len(terms)::bigint * all_docs) // all_terms as m from docs, sums where len(terms) > 0),
+scores as (
+  select item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+  from items join tfs using (term) join weights using (term) join norms using (r) group by all),
+ranked as (select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int as rank, doc_id, score
+           from scores where score > 0)
+select * from ranked where rank <= 50
+""")
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    index = ranked_search.build_index(read(spark, sf_dir, "documents"))
+    return ranked_search.search(index, read(spark, sf_dir, "benchmark"))
