@@ -14,6 +14,7 @@ from . import (
     language_id,
     mixing,
     ngram_join,
+    personal_data,
     quotes,
     ranked_search,
     shards,
@@ -288,3 +289,12 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
     index = ranked_search.build_index(read(spark, sf_dir, "documents"))
     return ranked_search.search(index, read(spark, sf_dir, "benchmark"))
+
+
+@query("op11_personal_data")
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole document: base spans, and what a field trained on them adds."""
+    docs = read(spark, sf_dir, "documents")
+    found = personal_data.find(docs, personal_data.train(personal_data.labelled_from(docs)))
+    count = lambda kind: F.regexp_count("base", F.lit(kind + ":")).cast("bigint").alias("n_" + kind)
+    return found.select("doc_id", *map(count, personal_data.KINDS), F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
