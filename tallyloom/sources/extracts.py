@@ -4,27 +4,39 @@ Encoding and quoting are voted on over all lines of a file. Delimiter and header
 are found in its first records by column functions: the delimiter is the sign
 that stands equally often, outside quotes, in most of them; the header is the
 first record with a cell that names the key. Files of one layout are then one
-read by Spark's CSV reader, split across tasks unless quoted line breaks forbid
-it, with or without lines above the header.
+read, split across tasks, with or without lines above the header.
+
+Without quoted line breaks that is Spark's CSV reader. With them, whether a line
+begins inside quotes depends on everything before it. So each split is first read
+both ways, begun outside and begun inside quotes, which gives a map of two states;
+the maps of a file's splits compose in order, and then every split knows how it
+begins. It puts the lines of a record together by itself, and only the records
+that cross a border between splits (one at either end) meet once more. A quote
+opens a cell only where a cell begins, so one that stands inside a cell is text.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import norm_key, strip
+from ..operators.keyed import is_small, small_side
 from ..operators.merge import rank_names
 from ..session import stage_path
 
 # Fixed values of the extract format.
 DELIMITERS = ";,\t|"
 HEADER_SEARCH_ROWS = 50
-# Lines looked at for those records; a file whose header lies behind them is refused.
-HEAD_LINES = 10_000
+# Lines looked at for those records at first; where they do not suffice, WIDER times as many, and so on.
+FIRST_LINES, WIDER = 1_000, 16
 OUTPUT_NAMES = ("merged.csv", "merge_conflicts.csv", "merge_manifest.json")
 
 # The 32 code points where cp1252 and latin-1 differ, from the codec itself.
@@ -52,21 +64,26 @@ def _odd_quotes(line: Column) -> Column:
     return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
 
-def _lines(spark: SparkSession, directory: str) -> DataFrame:
-    return (spark.read.option("pathGlobFilter", "*.csv").text(directory)
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return (spark.read.option("pathGlobFilter", "*.csv").text(paths)
             .select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"),
                     F.col("_metadata.file_block_start").alias("start"), "value")
             .where(~F.col("file").isin(*OUTPUT_NAMES)).withColumn("at", F.monotonically_increasing_id()))
 
 
-def file_votes(spark: SparkSession, directory: str) -> DataFrame:
-    """Per file: do all lines decode, is any quote left open at a line end."""
+def file_splits(spark: SparkSession, directory: str) -> DataFrame:
+    """Per split of a file: do all lines decode, has it quotes, how many lines, and the first of them."""
     latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    return _lines(spark, directory).groupBy("file", "path").agg(
+    return _lines(spark, directory).groupBy("file", "path", "start").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
         F.bool_or(latin.rlike(f"[{_NOT_CP1252}]")).alias("latin_only"),
-        F.bool_or(_odd_quotes(latin)).alias("multiline"),
-        F.min(F.when(F.col("start") == 0, F.col("at"))).alias("first"))
+        F.bool_or(latin.contains('"')).alias("quoted"), F.min("at").alias("first"), F.count(F.lit(1)).alias("lines"))
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    path = stage_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _decoded(encoding: Column) -> Column:
@@ -77,19 +94,32 @@ def _decoded(encoding: Column) -> Column:
     return F.when(encoding == "utf-8-sig", utf8).when(encoding == "cp1252", cp1252).otherwise(latin)
 
 
-def _records(lines: Column) -> Column:
-    """Lines to records: a line with a quote left open goes on in the next one."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"))
-
-    def step(acc: Column, line: Column) -> Column:
-        whole = F.concat_ws("\n", acc["open"], line)
-        ended = ~_odd_quotes(whole)
-        full = F.size(acc["done"]) >= HEADER_SEARCH_ROWS
-        return F.when(full, acc).otherwise(F.struct(
-            F.when(ended, F.array_append(acc["done"], whole)).otherwise(acc["done"]).alias("done"),
-            F.when(~ended, whole).alias("open")))
-    return F.aggregate(lines, start, step, lambda acc: F.array_compact(F.when(
-        acc["open"].isNotNull() & (F.size(acc["done"]) < HEADER_SEARCH_ROWS), F.array_append(acc["done"], acc["open"])).otherwise(acc["done"])))
+def _first_records(spark: SparkSession, directory: str, splits: DataFrame, votes: DataFrame) -> DataFrame:
+    """Per file its first HEADER_SEARCH_ROWS records, and the line each begins in. A line with a quote left open
+    goes on in the next one."""
+    order = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    begun = splits.select("path", "start", "first", F.coalesce(F.sum("lines").over(order), F.lit(0)).alias("before"))
+    numbered = Window.partitionBy("path").orderBy("number")
+    bound, files, found = FIRST_LINES, votes.select("file", "path", "encoding"), None
+    while True:
+        near = (_lines(spark, directory).join(small_side(begun.where(F.col("before") < bound)), ["path", "start"])
+                .withColumn("number", F.col("before") + F.col("at") - F.col("first")).where(F.col("number") < bound)
+                .join(small_side(files), ["file", "path"]).select("file", "path", "number", _decoded(F.col("encoding")).alias("v")))
+        odd = F.sum(_odd_quotes(F.col("v")).cast("int")).over(numbered.rowsBetween(Window.unboundedPreceding, 0))
+        ended = F.sum((F.col("odd") % 2 == 0).cast("int")).over(numbered.rowsBetween(Window.unboundedPreceding, -1))
+        records = (near.withColumn("odd", odd).withColumn("record", F.coalesce(ended, F.lit(0)))
+                   .where(F.col("record") < HEADER_SEARCH_ROWS).groupBy("file", "path", "record")
+                   .agg(F.array_sort(F.collect_list(F.struct("number", "v"))).alias("l"))
+                   .select("file", "path", "record", F.get("l", F.lit(0))["number"].alias("line"), F.element_at("l", -1)["number"].alias("last"),
+                           F.concat_ws("\n", F.transform("l", lambda x: x["v"])).alias("text")))
+        heads = _staged(records.groupBy("file", "path").agg(
+            F.array_sort(F.collect_list(F.struct("record", "line", "text"))).alias("l"), F.max("last").alias("last")), "heads")
+        more = (F.size("l") < HEADER_SEARCH_ROWS) & (F.col("last") == bound - 1)
+        found = heads.where(~more) if found is None else found.unionByName(heads.where(~more))
+        files = files.join(heads.where(more).select("path"), "path", "left_semi").select("file", "path", "encoding")
+        if heads.where(more).limit(1).count() == 0:
+            return found.select("file", "path", F.transform("l", lambda x: x["text"]).alias("records"), F.transform("l", lambda x: x["line"]).alias("lines"))
+        bound *= WIDER
 
 
 # A quoted part, matched without going back, however long it is.
@@ -120,16 +150,11 @@ def _cells(record: Column, sign: str) -> Column:
 
 def file_dialects(spark: SparkSession, directory: str, key: str) -> DataFrame:
     """One row per source file: how it is written, and where its header is (``header`` NULL: nowhere)."""
-    path = stage_path(spark, "votes")
-    votes = file_votes(spark, directory)
-    votes.write.parquet(path)
-    votes = spark.read.schema(votes.schema).parquet(path)
+    splits = _staged(file_splits(spark, directory), "splits")
     encoding = F.when(F.col("utf8"), "utf-8-sig").when(F.col("latin_only"), "latin-1").otherwise("cp1252")
-    heads = (_lines(spark, directory).where(F.col("start") == 0)
-             .join(votes.select("file", "path", "first", encoding.alias("encoding")), ["file", "path"])
-             .where(F.col("at") - F.col("first") < HEAD_LINES)
-             .groupBy("file", "path").agg(F.array_sort(F.collect_list(F.struct("at", _decoded(F.col("encoding")).alias("v")))).alias("l"))
-             .select("file", "path", _records(F.transform("l", lambda x: x["v"])).alias("records")))
+    votes = (splits.groupBy("file", "path").agg(F.bool_and("utf8").alias("utf8"), F.bool_or("latin_only").alias("latin_only"),
+                                                F.bool_or("quoted").alias("quoted")).withColumn("encoding", encoding))
+    heads = _first_records(spark, directory, splits, votes)
     found = heads.withColumn("delimiter", _best_delimiter(F.col("records")))
     split = lambda sign: F.transform("records", lambda r: _cells(r, sign))
     found = found.withColumn("cells", F.coalesce(*[F.when(F.col("delimiter") == sign, split(sign)) for sign in DELIMITERS]))
@@ -142,13 +167,175 @@ def file_dialects(spark: SparkSession, directory: str, key: str) -> DataFrame:
     header = F.slice(header, F.lit(1), named + 1)  # without the empty cells at its end
     above = F.slice("records", F.lit(1), F.greatest(F.col("at"), F.lit(0)))
     seen = F.size(F.filter(above, lambda r: F.trim(r, F.lit(" \t\r")) != ""))
-    lines = F.aggregate(above, F.lit(1), lambda n, r: n + F.size(F.split(r, "\n", -1)))
-    return (votes.drop("first").withColumn("encoding", encoding).join(found, ["file", "path"], "left")
-            .select("file", "path", "encoding", "delimiter", "multiline", F.when(F.col("at").isNotNull(), seen).alias("header_row"),
-                    F.when(F.col("at").isNotNull(), lines).alias("header_line"), "exact",
-                    F.get(F.filter(header, lambda c: F.when(F.col("exact"), c == wanted).otherwise(norm_key(c) == norm_key(wanted))),
-                          F.lit(0)).alias("key_header"), header.alias("header"),
-                    F.array_join(F.slice(F.get("cells", F.lit(0)), 1, 12), ", ").alias("first_cells")))
+    found = _staged(votes.join(found, ["file", "path"], "left").select(
+        "file", "path", "encoding", "delimiter", "quoted", F.when(F.col("at").isNotNull(), seen).alias("header_row"),
+        (F.get("lines", F.col("at")) + 1).cast("int").alias("header_line"), "exact",
+        F.get(F.filter(header, lambda c: F.when(F.col("exact"), c == wanted).otherwise(norm_key(c) == norm_key(wanted))),
+              F.lit(0)).alias("key_header"), header.alias("header"),
+        F.array_join(F.slice(F.get("cells", F.lit(0)), 1, 12), ", ").alias("first_cells")), "dialects")
+    if found.where("quoted").limit(1).count() == 0:
+        return found.withColumn("multiline", F.col("quoted")).drop("quoted")
+    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    leaves_open = F.coalesce(*[F.when(F.col("delimiter") == sign, _leaves_open(latin, sign)) for sign in DELIMITERS])
+    broken = (_lines(spark, directory).where(latin.contains('"')).join(small_side(found.where("quoted").select("path", "delimiter")), "path")
+              .where(leaves_open).select("path").distinct().withColumn("multiline", F.lit(True)))
+    return found.join(broken, "path", "left").withColumn("multiline", F.coalesce("multiline", F.lit(False))).drop("quoted")
+
+
+# Quoted cells of a line, from where a cell begins to the end of the quotes or of the line; {0} is the delimiter.
+_QUOTED_CELLS = '(^|\\{0})"[^"]*+(?:""[^"]*+)*+"'
+_OPEN_CELL = '(?:^|\\{0})"'
+
+
+def _leaves_open(line: Column, sign: str) -> Column:
+    """Does a line that begins outside quotes end inside them."""
+    return line.contains('"') & F.regexp_replace(line, _QUOTED_CELLS.format(sign), "$1").rlike(_OPEN_CELL.format(sign))
+
+
+class _Reading:
+    """How lines with quotes move between outside and inside, for one delimiter."""
+
+    def __init__(self, sign: str):
+        self.cells, self.open = re.compile(_QUOTED_CELLS.format(sign)), re.compile(_OPEN_CELL.format(sign))
+
+    def after(self, line: str, inside: bool) -> bool:
+        # Inside is as if the line began with the quote that opened the cell.
+        return self.open.search(self.cells.sub(r"\1", '"' + line if inside else line)) is not None
+
+
+def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut where a new split begins."""
+    for batch in batches:
+        path, start = batch.column("path"), batch.column("start")
+        cuts = [0, batch.num_rows]
+        if batch.num_rows > 1:
+            new = pc.or_(pc.not_equal(path[1:], path[:-1]), pc.not_equal(start[1:], start[:-1]))
+            cuts[1:1] = [i + 1 for i, x in enumerate(new.to_pylist()) if x] if pc.any(new).as_py() else []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if hi > lo:
+                yield batch.slice(lo, hi - lo)
+
+
+def _split_maps(lines: DataFrame, sign: str) -> DataFrame:
+    """``path, start, lines, from_outside, from_inside``: is the end of a split inside quotes, by how it begins."""
+    def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reading, at, ends, n = _Reading(sign), None, [False, True], 0
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in (*at, n, *ends)], ["path", "start", "lines", "from_outside", "from_inside"])
+
+        for batch in _by_split(batches):
+            here = batch.column("path")[0].as_py(), batch.column("start")[0].as_py()
+            if at is not None and here != at:
+                yield row()
+                ends, n = [False, True], 0
+            at = here
+            n += batch.num_rows
+            for line in batch.column("value").filter(pc.match_substring(batch.column("value"), '"')).to_pylist():
+                ends = [reading.after(line, inside) for inside in ends] if ends[0] != ends[1] else [reading.after(line, ends[0])] * 2
+        if at is not None:
+            yield row()
+    return lines.select("path", "start", "value").mapInArrow(maps, "path string, start bigint, lines bigint, from_outside boolean, from_inside boolean")
+
+
+def _entries(maps: DataFrame) -> DataFrame:
+    """``path, start, inside, before``: does a split begin inside quotes, and how many lines lie before it."""
+    order = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    # A map that leads to one state whatever came before settles all that follows; those in between keep or swap.
+    same = F.col("from_outside") == F.col("from_inside")
+    swaps = F.sum(F.when(same, 0).otherwise(F.col("from_outside").cast("int")))
+    so_far = swaps.over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
+    marked = maps.withColumn("swaps", so_far).withColumn(
+        "settled", F.when(same, F.struct(F.col("from_outside").alias("inside"), F.col("swaps").alias("swaps"))))
+    last = F.last("settled", ignorenulls=True).over(order)
+    before = F.coalesce(F.last("swaps").over(order), F.lit(0))
+    inside = (F.coalesce(last["inside"].cast("int"), F.lit(0)) + before - F.coalesce(last["swaps"], F.lit(0))) % 2 == 1
+    return marked.select("path", "start", inside.alias("inside"), F.coalesce(F.sum("lines").over(order), F.lit(0)).alias("before"))
+
+
+def records(lines: DataFrame, sign: str, header_line: int) -> DataFrame:
+    """``file, start, at, value``: the records of files with quoted line breaks behind their header, from ``lines``
+    (``file, path, start, at, value``) as they are read, split by split."""
+    entries = _staged(_entries(_staged(_split_maps(lines, sign), "maps")), "entries")
+    # Most splits begin outside quotes and behind the header; only the others need to be told.
+    told = entries.where(F.col("inside") | (F.col("before") < header_line))
+    if is_small(told):
+        rows = lines.join(F.broadcast(told), ["path", "start"], "left")
+    else:
+        rows = lines.join(told, ["path", "start"], "left").repartition("path", "start").sortWithinPartitions("path", "start", "at")
+    rows = rows.select("file", "path", "start", "at", "value", F.coalesce("inside", F.lit(False)).alias("inside"), F.coalesce("before", F.lit(header_line)).alias("before"))
+
+    WHOLE, HEAD, MIDDLE, TAIL = range(4)
+    names = ["file", "path", "start", "at", "kind", "value"]
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reading, here, n, where, inside, held, began = _Reading(sign), None, 0, ("", ""), False, [], None
+
+        def rest() -> pa.RecordBatch | None:
+            """What is still open where a split ends."""
+            if not held:
+                return None
+            kind = MIDDLE if began is None else TAIL
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(
+                (*where, began if began is not None else -1, kind, "\n".join(held)), types, strict=True)], ["file", "path", "start", "at", "kind", "value"])
+
+        types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
+        for batch in _by_split(batches):
+            split = batch.column("path")[0].as_py(), batch.column("start")[0].as_py()
+            if split != here:
+                if (left := rest()) is not None:
+                    yield left
+                here, n, held, began = split, batch.column("before")[0].as_py(), [], None
+                inside = batch.column("inside")[0].as_py()
+            where = (batch.column("file")[0].as_py(), *split)
+            value, at = batch.column("value"), batch.column("at")
+            marks = pc.indices_nonzero(pc.match_substring(value, '"')).to_pylist()
+            out: list[tuple[int, int, str]] = []
+            plain, done = [], 0  # stretches of whole lines
+
+            for i in [*marks, None]:
+                end = len(value) if i is None else i
+                if inside:
+                    held += value.slice(done, end - done).to_pylist()
+                elif end > done:
+                    plain.append((done, end - done))
+                if i is None:
+                    break
+                line, done = value[i].as_py(), i + 1
+                after = reading.after(line, inside)
+                if inside:
+                    held.append(line)
+                    if not after:
+                        out.append((HEAD if began is None else WHOLE, -1 if began is None else began, "\n".join(held)))
+                        held = []
+                elif after:
+                    held, began = [line], (at[i].as_py() if n + i >= header_line else -2)
+                else:
+                    plain.append((i, 1))
+                inside = after
+            keep = [(lo, k) for lo, k in ((max(lo, header_line - n), lo + k - max(lo, header_line - n)) for lo, k in plain) if k > 0]
+            for lo, k in keep:
+                part = batch.slice(lo, k)
+                yield pa.RecordBatch.from_arrays([part.column("file"), part.column("path"), part.column("start"), part.column("at"),
+                                                  pa.array([WHOLE] * k, pa.int32()), part.column("value")], names)
+            out = [x for x in out if x[1] != -2]
+            if out:
+                kinds, places, texts = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array([x] * len(out), t) for x, t in zip(where, types, strict=False)), pa.array(places, pa.int64()),
+                                                  pa.array(kinds, pa.int32()), pa.array(texts, pa.string())], names)
+            n += batch.num_rows
+        if (left := rest()) is not None:
+            yield left
+
+    made = _staged(rows.mapInArrow(assemble, "file string, path string, start bigint, at bigint, kind int, value string"), "records")
+    # Pieces of records that cross borders: an open end, whole splits inside quotes, and the piece that closes it.
+    order = Window.partitionBy("path").orderBy("start", "kind")
+    pieces = made.where(F.col("kind") != WHOLE).withColumn("chain", F.sum((F.col("kind") == TAIL).cast("int")).over(order))
+    first = F.min_by(F.struct("start", "at", "kind"), F.struct("start", "kind"))
+    joined = (pieces.groupBy("file", "path", "chain").agg(first.alias("first"), F.array_sort(F.collect_list(F.struct("start", "kind", "value"))).alias("l"))
+              .where((F.col("first.kind") == TAIL) & (F.col("first.at") >= 0))
+              .select("file", "first.start", "first.at", F.concat_ws("\n", F.transform("l", lambda x: x["value"])).alias("value")))
+    return made.where(F.col("kind") == WHOLE).select("file", "start", "at", "value").unionByName(joined)
 
 
 def detect_dialects(spark: SparkSession, directory: str, key: str) -> list[Dialect]:
@@ -174,32 +361,38 @@ def read_dialect(spark: SparkSession, files: list[Dialect]) -> DataFrame:
     """
     d = files[0]
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(d.header))])
-    raw = (spark.read.schema(schema).option("sep", d.delimiter).option("quote", '"').option("escape", '"')
-           .option("encoding", "UTF-8" if d.encoding.startswith("utf") else "ISO-8859-1")
-           .option("header", d.header_row == 0).option("multiLine", d.multiline).csv([f.path for f in files]))
-    at = F.monotonically_increasing_id()
-    start = F.col("_metadata.file_block_start").cast("decimal(19,0)")
-    rows = raw.select("*", F.col("_metadata.file_name").alias("_file"), at.alias("_at"), F.col("_metadata.file_block_start").alias("_start"),
-                      (start * F.lit("9223372036854775808").cast("decimal(19,0)") + at).cast("decimal(38,0)").alias("_row"))
-    if d.header_row:
+    options = {"sep": d.delimiter, "quote": '"', "escape": '"'}
+    start = lambda c: c.cast("decimal(19,0)") * F.lit("9223372036854775808").cast("decimal(19,0)")
+    if d.multiline:
+        whole = records(_lines(spark, [f.path for f in files]).withColumn("value", _decoded(F.lit(d.encoding))), d.delimiter, d.header_line)
+        rows = (whole.select(F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "), options | {"maxCharsPerColumn": "-1"}).alias("_r"),
+                             F.col("file").alias("_file"), (start(F.col("start")) + F.col("at")).cast("decimal(38,0)").alias("_row"))
+                .select("_r.*", "_file", "_row"))
+    else:
+        raw = (spark.read.schema(schema).options(**options)
+               .option("encoding", "UTF-8" if d.encoding.startswith("utf") else "ISO-8859-1")
+               .option("header", d.header_row == 0).csv([f.path for f in files]))
+        at = F.monotonically_increasing_id()
+        rows = raw.select("*", F.col("_metadata.file_name").alias("_file"), at.alias("_at"), F.col("_metadata.file_block_start").alias("_start"),
+                          (start(F.col("_metadata.file_block_start")) + at).cast("decimal(38,0)").alias("_row"))
+    if d.header_row and not d.multiline:
         # Records are counted from the first one of each file, wherever a task begins.
         first = (rows.where(F.col("_start") == 0).groupBy("_file").agg(F.min("_at").alias("_first"))
                  .withColumnRenamed("_file", "_of"))
-        rows = (rows.join(F.broadcast(first), F.col("_file") == F.col("_of"))  # one row per file of the listing
+        rows = (rows.join(small_side(first), F.col("_file") == F.col("_of"))
                 .where((F.col("_start") != 0) | (F.col("_at") - F.col("_first") > d.header_row)))
     cells: list[tuple[str, Column]] = []
     for i, name in enumerate(d.header):
         cell = F.coalesce(F.col(f"_c{i}"), F.lit(""))
-        if d.encoding == "cp1252":
+        if d.encoding == "cp1252" and not d.multiline:
             cell = F.translate(cell, "".join(a for a, _ in _CP1252), "".join(b for _, b in _CP1252))
         if name:
             cells.append((name, strip(cell)))
     filled = F.lit(False)
     for c in schema.names:
         filled = filled | (strip(F.coalesce(F.col(c), F.lit(""))) != "")
-    # One row per file of the listing.
     ranks = spark.createDataFrame([(f.file, f.rank) for f in files], "_file string, _rank int")
-    rows = rows.where(filled).join(F.broadcast(ranks), "_file")
+    rows = rows.where(filled).join(small_side(ranks), "_file")
     once: dict[str, Column] = {}
     again: dict[str, list[Column]] = {}
     for name, cell in cells:
@@ -234,7 +427,7 @@ def read_extracts(spark: SparkSession, directory: str, key: str) -> DataFrame:
     # Files that look alike are one read.
     alike: dict[tuple, list[Dialect]] = {}
     for d in dialects:
-        alike.setdefault((d.encoding, d.delimiter, d.multiline, d.header, d.header_row), []).append(d)
+        alike.setdefault((d.encoding, d.delimiter, d.multiline, d.header, d.header_line if d.multiline else d.header_row), []).append(d)
     stacked = None
     for files in alike.values():
         part = read_dialect(spark, files)
