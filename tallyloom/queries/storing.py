@@ -44,6 +44,18 @@ def _scan(spark, sf):
     return _stacked(spark, write_extracts(spark, sf)).where("_part = 0").drop("_rank", "_file", "_row", "_part")
 
 
+@query("extract_scan_line_breaks", """SELECT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS "Kunden-Nr", CAST(o_orderkey AS VARCHAR) AS "Auftrag",
+  'sagt "' || o_orderpriority || '";' || chr(10) || repeat('und ' || o_orderstatus || chr(10), CAST(o_orderkey % 4 AS INTEGER)) || 'Ende' AS "Notiz" FROM orders""")
+def _scan_line_breaks(spark, sf):
+    """Cells with quoted line breaks, read split by split."""
+    base = stage_path(spark, "extracts")
+    note = F.concat(F.lit('sagt "'), "o_orderpriority", F.lit('";\n'), F.expr("repeat(concat('und ', o_orderstatus, '\n'), cast(o_orderkey % 4 as int))"), F.lit("Ende"))
+    (table(spark, sf, "orders").select(F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias(KEY),
+                                       F.col("o_orderkey").cast("string").alias("Auftrag"), note.alias("Notiz"))
+     .write.option("header", True).option("sep", ";").option("escape", '"').csv(base))
+    return E.read_extracts(spark, base, KEY).select(KEY, "Auftrag", "Notiz")
+
+
 @query("extract_merge", """WITH o AS (SELECT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS k, COUNT(*) AS n FROM orders GROUP BY 1)
 SELECT COALESCE(c_name, k) AS "Kunden-Nr", c_mktsegment AS "Segment", CASE WHEN c_acctbal > 0 THEN 'Müller; "GmbH"' ELSE '-' END AS "Firma", k IS NOT NULL AS has_order
 FROM customer FULL OUTER JOIN o ON c_name = k""")
