@@ -162,15 +162,22 @@ def item_terms(items: DataFrame, item_id: str, text: str) -> DataFrame:
 class Block:
     """A block of items: their distinct terms in order, and which of these each item has."""
 
-    def __init__(self, pairs: pa.Table):
+    def __init__(self, items: pa.Array, terms: np.ndarray, which: np.ndarray, first: np.ndarray):
+        self.items, self.terms, self.which, self.first = items, terms, which, first
+
+    @classmethod
+    def of(cls, pairs: pa.Table) -> Block:
         item = pairs.column("item").combine_chunks().dictionary_encode("encode")
         if isinstance(item, pa.ChunkedArray):
             item = item.combine_chunks()
-        self.items = item.dictionary
-        self.terms, which = np.unique(pairs.column("term").to_numpy().view(np.uint64), return_inverse=True)
+        terms, which = np.unique(pairs.column("term").to_numpy().view(np.uint64), return_inverse=True)
         owner = item.indices.to_numpy()
         order = np.argsort(owner, kind="stable")
-        self.which, self.first = which[order], np.searchsorted(owner[order], np.arange(len(self.items)))
+        return cls(item.dictionary, terms, which[order], np.searchsorted(owner[order], np.arange(len(item.dictionary))))
+
+    def parts(self) -> tuple:
+        """What workers make it from again."""
+        return self.items, self.terms, self.which, self.first
 
     def own(self, i: int) -> np.ndarray:
         return self.which[self.first[i]:self.first[i + 1] if i + 1 < len(self.first) else None]
@@ -253,10 +260,11 @@ def score_stratum(s: Stratum, block: Block, weights: np.ndarray, hit: np.ndarray
 
 
 def _search(index: DataFrame, block: Block, weights: np.ndarray, k: int, kind: str) -> DataFrame:
-    shared = index.sparkSession.sparkContext.broadcast((block, weights))
+    shared = index.sparkSession.sparkContext.broadcast((block.parts(), weights))
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, weights = shared.value
+        parts, weights = shared.value
+        block = Block(*parts)
         best = [Best(k) for _ in range(len(block.items))]
         for batch in batches:
             visits = []
@@ -286,7 +294,7 @@ def search(index: tuple[DataFrame, int], items: DataFrame, item_id: str = "item_
         own = pairs.where(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == number).toArrow()
         if not own.num_rows:
             continue
-        block = Block(own)
+        block = Block.of(own)
         weights = np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1))) for df in _frequencies(table, block).tolist()], np.int64)
         part = _search(table, block, weights, k, kind)
         found = part if found is None else found.unionByName(part)

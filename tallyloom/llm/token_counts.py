@@ -31,7 +31,6 @@ import json
 import re
 import sys
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +40,8 @@ from pyspark.sql import functions as F
 from .common import mix, pieces, seeds
 
 CHUNK = 256
-KNOWN_WORDS = 400_000  # counts kept per worker; when full, they are forgotten and learned anew
+KNOWN_BYTES = 32 << 20  # of words whose counts a worker keeps, and
+KNOWN_STEPS = 200_000  # transitions of the counter; when either is full, both are forgotten and learned anew
 
 # White_Space of Unicode.
 SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -81,9 +81,17 @@ def _splitter() -> tuple[np.ndarray, np.ndarray]:
 MOVE, EMIT = _splitter()
 
 
-@lru_cache(1)
+_classes: list[np.ndarray] = []
+
+
 def classes() -> np.ndarray:
-    """The class of every code point."""
+    """The class of every code point, made on first use."""
+    if not _classes:
+        _classes.append(_all_classes())
+    return _classes[0]
+
+
+def _all_classes() -> np.ndarray:
     import regex
 
     every = "".join(map(chr, [c if not 0xD800 <= c < 0xE000 else 0 for c in range(sys.maxunicode + 1)]))
@@ -164,12 +172,16 @@ class Counter:
                     self.token.append(-1)
                 node = nxt
             self.token[node] = i
+        self._forget()
+
+    def _forget(self) -> None:
         self.pairs: dict[tuple[int, int], bool] = {}
         self.states: dict[tuple, int] = {}
         self.content: list[tuple] = []
         self.steps: list[dict[int, tuple[int, int]]] = []
         self.start = self._state(((0, -1, 0),))
         self.known: dict[bytes, int] = {}
+        self.held, self.made = 0, 0
 
     def _state(self, content: tuple) -> int:
         found = self.states.get(content)
@@ -219,6 +231,7 @@ class Counter:
             raise ValueError("the vocabulary has no token for a byte")
         content = (*((n, t, c - emitted) for n, t, c in going), (0, last, 0))
         out = self.steps[state][byte] = (self._state(content), emitted)
+        self.made += 1
         return out
 
     def count(self, word: bytes) -> int:
@@ -226,12 +239,19 @@ class Counter:
         if total is None:
             state, total, steps = self.start, 0, self.steps
             for byte in word:
-                step = steps[state].get(byte) or self._step(state, byte)
+                step = steps[state].get(byte)
+                if step is None:
+                    if self.made >= KNOWN_STEPS:  # a state is its content: it goes on in new tables
+                        content = self.content[state]
+                        self._forget()
+                        state, steps = self._state(content), self.steps
+                    step = self._step(state, byte)
                 state = step[0]
                 total += step[1]
-            if len(self.known) >= KNOWN_WORDS:
-                self.known.clear()
+            if self.held >= KNOWN_BYTES:
+                self._forget()
             self.known[word] = total
+            self.held += len(word) + 100
         return total
 
 

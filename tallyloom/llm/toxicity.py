@@ -209,11 +209,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 def with_scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Every row with its ``score`` (a column of that name is replaced); nothing is shuffled."""
     rows = docs.drop("score")
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = rows.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     schema = rows.withColumn("score", F.lit(0.0)).schema
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         for batch in batches:
             found = [model.score(t) for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())],

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -55,3 +56,23 @@ def test_other_vocabularies_are_refused():
 
     with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f, pytest.raises(ValueError):
         token_counts.Counter(f.read())
+
+
+def test_tables_stay_bounded(monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    with open(path, "rb") as f:
+        counter = token_counts.Counter(f.read())
+    plain = __import__("tokenizers").Tokenizer.from_file(path)
+    monkeypatch.setattr(token_counts, "KNOWN_STEPS", 300)
+    monkeypatch.setattr(token_counts, "KNOWN_BYTES", 5_000)
+    rng = __import__("random").Random(1)
+    for _ in range(400):
+        word = "".join(rng.choice("abcdefXYZ019_ёж") for _ in range(rng.randrange(1, 40)))
+        data = word.encode()
+        text = " " + word if rng.random() < 0.5 else word
+        got = token_counts.text_counts(counter, np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+        assert got.tolist() == [len(plain.encode(text).ids)], data
+        assert counter.made <= 300 and len(counter.states) <= 301 and counter.held <= 5_000 + 200
+    long = "xq7" * 5_000  # one word longer than the tables
+    assert counter.count(long.encode()[:3_000].replace(b"7", b"z")) > 0 and counter.made <= 300
