@@ -1,21 +1,32 @@
 """Cycles in a directed graph of (src, dst) edges.
 
+Long chains are contracted first: a node with one edge in and one edge out is
+passed by, and pointer doubling finds for all nodes of a chain at once where it
+begins and how far they are from there, so a chain of n nodes takes log2 n rounds.
+What is left are branching nodes. Rings are searched for between those, one for
+every edge that closes one, and written out with the chains in between.
+
 Every round is a join of the edges with one row per node, written to the
 shared folder so that a lost executor costs a round, not the run. Hubs go
-through ``attach_by_key``. No paths are enumerated: the search for a ring keeps
-one shortest path per node.
+through ``attach_by_key``. The search for a ring keeps one shortest path per
+closing edge and branching node; it goes no further than the ring found so far.
+Its work grows with closing edges times the nodes as near as that.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.known import is_known
-from ..session import cut_lineage
+from ..session import written
 from .keyed import attach_by_key, is_small
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    return written(df, "graph")
+
+
 def clean_edges(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst").where(is_known(F.col("src").cast("string"))
                                             & is_known(F.col("dst").cast("string"))).distinct()
@@ -41,118 +52,222 @@ def _from_target(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return _at(edges, nodes, "dst")
 
 
+def _peeled(edges: DataFrame) -> DataFrame:
+    """``edges`` without those that begin where none ends, or end where none begins."""
+    ends = edges.select(F.col("src").alias("node"), F.lit(1).alias("_out"), F.lit(0).alias("_in")).unionAll(
+        edges.select("dst", F.lit(0), F.lit(1)))
+    alive = _kept(ends.groupBy("node").agg(F.max("_out").alias("_out"), F.max("_in").alias("_in"))
+                        .where("_out = 1 AND _in = 1").select("node"))
+    kept = _from_source(edges, alive.withColumnRenamed("node", "src"))
+    return _kept(_from_target(kept, alive.withColumnRenamed("node", "dst")).select(*edges.columns))
+
+
+def _links(edges: DataFrame) -> DataFrame:
+    """Nodes with one edge in and one out, to other nodes, with the node before each (node, before)."""
+    sides = edges.select(F.col("dst").alias("node"), F.lit(1).alias("_in"), F.lit(0).alias("_out"), F.col("src").alias("before")).unionAll(
+        edges.select("src", F.lit(0), F.lit(1), F.lit(None)))
+    return (sides.groupBy("node").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.min("before").alias("before"))
+            .where("_in = 1 AND _out = 1 AND before <> node").select("node", "before"))
+
+
+def _ranked(steps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For ``node, ptr`` (the node before; itself where a chain begins): ``node, first, rank``, the beginning of its
+    chain and how far it is from there. Second, the nodes of rings without a beginning: ``node, low``, the least of the ring.
+
+    Each round doubles the way that every pointer spans."""
+    at = _kept(steps.select("node", "ptr", (F.col("ptr") != F.col("node")).cast("bigint").alias("rank"), F.least("node", "ptr").alias("low"),
+                                  (F.col("ptr") == F.col("node")).alias("done")))
+    span, n = 1, at.count()
+    while span <= n and at.where("NOT done").limit(1).count():
+        ahead = at.select(F.col("node").alias("ptr"), F.col("ptr").alias("_ptr"), F.col("rank").alias("_rank"), F.col("low").alias("_low"), F.col("done").alias("_done"))
+        moved = at.where("NOT done").join(ahead, "ptr").select(
+            "node", F.col("_ptr").alias("ptr"), (F.col("rank") + F.col("_rank")).alias("rank"), F.least("low", "_low").alias("low"), F.col("_done").alias("done"))
+        at = _kept(at.where("done").unionByName(moved))
+        span *= 2
+    return at.where("done").select("node", F.col("ptr").alias("first"), "rank"), at.where("NOT done").select("node", "low")
+
+
+def _contracted(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chains of ``edges`` (``src, dst, via``) as one edge each. The edges left, where ``via`` tells chains of the same ends
+    apart: it is the first node of the chain; the nodes passed by (``src, via, node, before, rank``, and ``dst`` where the
+    chain ends); the nodes of rings that nothing enters or leaves (``node, before, low``)."""
+    links = _kept(_links(edges))
+    if links.limit(1).count() == 0:
+        none = edges.limit(0)
+        return (edges, none.select("src", "dst", "via", F.col("src").alias("node"), F.col("src").alias("before"), F.lit(0).cast("bigint").alias("rank")),
+                none.select(F.col("src").alias("node"), F.col("src").alias("low"), F.col("src").alias("before")))
+    steps = links.join(links.select(F.col("node").alias("before"), F.lit(True).alias("_link")), "before", "left")
+    placed, round_ones = _ranked(steps.select("node", F.when(F.col("_link"), F.col("before")).otherwise(F.col("node")).alias("ptr")))
+    heads = links.join(placed.where("rank = 0").select("node"), "node").select(F.col("node").alias("first"), F.col("before").alias("head"))
+    passed = _kept(placed.join(heads, "first").join(links, "node").select(F.col("head").alias("src"), F.col("first").alias("via"), "node", "before", "rank"))
+    chain = passed.select(F.col("src").alias("_head"), F.col("via").alias("_via"), F.col("node").alias("src"))
+    ends = (edges.join(links.select(F.col("node").alias("dst")), "dst", "left_anti").join(chain, "src", "left"))  # edges into branching nodes
+    left = _kept(ends.select(F.coalesce("_head", "src").alias("src"), "dst", F.coalesce("_via", "via").alias("via")))
+    passed = passed.join(left, ["src", "via"])
+    return left, _kept(passed.select("src", "dst", "via", "node", "before", "rank")), _kept(round_ones.join(links, "node"))
+
+
 def trim(edges: DataFrame) -> DataFrame:
     """Drop nodes that nothing enters or nothing leaves, until none is left.
 
-    What remains is every ring and the paths between rings.
-    """
-    before = edges.count()
+    What remains is every ring and the paths between rings. Chains fall as a whole: each round contracts
+    them before it looks at the ends."""
+    core, alive, chains = edges.select("src", "dst", F.col("dst").alias("via")), None, []
+    before = core.count()
     while before:
-        ends = edges.select(F.col("src").alias("node"), F.lit(1).alias("_out"), F.lit(0).alias("_in")).unionAll(
-            edges.select("dst", F.lit(0), F.lit(1)))
-        alive = cut_lineage(ends.groupBy("node").agg(F.max("_out").alias("_out"), F.max("_in").alias("_in"))
-                            .where("_out = 1 AND _in = 1").select("node"))
-        kept = _from_source(edges, alive.withColumnRenamed("node", "src"))
-        edges = cut_lineage(_from_target(kept, alive.withColumnRenamed("node", "dst")).select("src", "dst"))
-        after = edges.count()
-        if after == before:
+        core, passed, round_ones = _contracted(core)
+        chains.append(passed.select("src", "dst", "node"))
+        alive = round_ones.select("node") if alive is None else alive.unionByName(round_ones.select("node"))
+        before = core.count()
+        core = _peeled(core)
+        if core.count() == before:
             break
-        before = after
-    return edges
+    if alive is None:
+        return edges.select("src", "dst")
+    alive = _kept(alive.unionByName(core.select(F.col("src").alias("node"))).unionByName(core.select(F.col("dst").alias("node"))).distinct())
+    for passed in reversed(chains):  # a chain lives if both of its ends do
+        kept = _from_source(passed, alive.withColumnRenamed("node", "src"))
+        kept = _from_target(kept, alive.withColumnRenamed("node", "dst"))
+        alive = _kept(alive.unionByName(kept.select("node")).distinct())
+    kept = _from_source(edges.select("src", "dst"), alive.withColumnRenamed("node", "src"))
+    return _kept(_from_target(kept, alive.withColumnRenamed("node", "dst")).select("src", "dst"))
 
 
 def _spread_largest(edges: DataFrame) -> DataFrame:
     """The largest node that reaches each node (node, color)."""
     nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
-    colors = cut_lineage(nodes.select("node", F.col("node").alias("color")))
+    colors = _kept(nodes.select("node", F.col("node").alias("color")))
     while True:
         sent = _from_source(edges, colors.withColumnRenamed("node", "src"))
         best = sent.groupBy(F.col("dst").alias("node")).agg(F.max("color").alias("_c"))
         new = colors.join(best, "node", "left").select(
             "node", F.greatest("color", F.coalesce("_c", "color")).alias("color"),
             F.coalesce(F.col("_c") > F.col("color"), F.lit(False)).alias("_moved"))
-        new = cut_lineage(new)
+        new = _kept(new)
         colors = new.select("node", "color")
         if new.where("_moved").limit(1).count() == 0:
             return colors
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, trimmed: bool = False) -> DataFrame:
     """Strongly connected components of at least two nodes (node, component).
 
     Forward: every node learns the largest node that reaches it. Backward from
     those largest nodes inside their colour: what reaches them is a component.
     Settled nodes leave and the rest goes round again.
     """
-    rest = trim(edges)
+    rest = edges if trimmed else trim(edges)
     found = None
     while rest.limit(1).count():
         colors = _spread_largest(rest)
         same = _from_source(rest, colors.withColumnRenamed("node", "src").withColumnRenamed("color", "_a"))
         same = _from_target(same, colors.withColumnRenamed("node", "dst").withColumnRenamed("color", "_b"))
-        same = cut_lineage(same.where(F.col("_a") == F.col("_b")).select("src", "dst"))
-        reached = cut_lineage(colors.where(F.col("node") == F.col("color")))
+        same = _kept(same.where(F.col("_a") == F.col("_b")).select("src", "dst"))
+        reached = _kept(colors.where(F.col("node") == F.col("color")))
         fresh = reached
         while True:
             back = _from_target(same, fresh.select(F.col("node").alias("dst"), "color"))
-            fresh = cut_lineage(back.select(F.col("src").alias("node"), "color").distinct()
+            fresh = _kept(back.select(F.col("src").alias("node"), "color").distinct()
                                 .join(reached.select("node"), "node", "left_anti"))
             if fresh.limit(1).count() == 0:
                 break
-            reached = cut_lineage(reached.unionByName(fresh))
+            reached = _kept(reached.unionByName(fresh))
         members = reached.groupBy("color").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("_n"))
         settled = reached.join(members.where(F.col("_n") > 1).drop("_n"), "color").select("node", "component")
         found = settled if found is None else found.unionByName(settled)
         open_ends = rest.join(reached.select(F.col("node").alias("src")), "src", "left_anti").join(
             reached.select(F.col("node").alias("dst")), "dst", "left_anti").select("src", "dst")
-        rest = trim(cut_lineage(open_ends))
+        rest = trim(_kept(open_ends))
     if found is None:
         return edges.select(F.col("src").alias("node"), F.col("src").alias("component")).limit(0)
-    return cut_lineage(found)
-
-
-def rings(edges: DataFrame, members: DataFrame) -> DataFrame:
-    """Per component one shortest ring through its smallest node, as a list of
-    nodes that starts and ends there (component, ring)."""
-    inner = _from_source(edges, members.withColumnRenamed("node", "src").withColumnRenamed("component", "_a"))
-    inner = _from_target(inner, members.withColumnRenamed("node", "dst").withColumnRenamed("component", "component"))
-    inner = cut_lineage(inner.where(F.col("_a") == F.col("component")).select("src", "dst"))
-    front = cut_lineage(members.groupBy("component").agg(F.min("node").alias("src"))
-                        .select("component", "src", F.array("src").alias("path")))
-    seen = front.select(F.col("src").alias("dst"))
-    closed = None
+    return _kept(found)
+
+
+def _shortest(inner: DataFrame) -> DataFrame:
+    """Per closing edge of ``inner`` (``src, dst, via, hops, closes``) the shortest ring through it, as the list of its
+    edges (``path``: ``src, via``); of several the one whose nodes come first."""
+    ring, step = ["_src", "_via"], F.struct("src", "via")
+    front = _kept(inner.where("closes").select(
+        F.col("src").alias("_src"), F.col("via").alias("_via"), F.col("dst").alias("node"), F.struct("hops", F.array(step).alias("path")).alias("way")))
+    best = front
     while front.limit(1).count():
-        step = _from_source(inner, front).select("component", "dst", F.concat("path", F.array("dst")).alias("path"))
-        best = cut_lineage(step.groupBy("component", "dst").agg(F.min("path").alias("path")))
-        home = best.where(F.col("dst") == F.col("path")[0]).select("component", F.col("path").alias("ring"))
-        closed = home if closed is None else closed.unionByName(home)
-        fresh = best.join(home.select("component"), "component", "left_anti").join(seen, "dst", "left_anti")
-        front = cut_lineage(fresh.select("component", F.col("dst").alias("src"), "path"))
-        seen = seen.unionByName(front.select(F.col("src").alias("dst")))
-    if closed is None:
-        return members.select("component", F.array("node").alias("ring")).limit(0)
-    return closed
+        home = best.where(F.col("node") == F.col("_src")).select(*ring, F.col("way.hops").alias("_found"))
+        going = front.where(F.col("node") != F.col("_src")).join(home, ring, "left").where("_found IS NULL OR way.hops < _found")
+        ahead = _from_source(inner, going.select(*ring, F.col("node").alias("src"), F.col("way").alias("_way")))
+        new = ahead.groupBy(*ring, F.col("dst").alias("node")).agg(F.min(F.struct(
+            (F.col("_way.hops") + F.col("hops")).alias("hops"), F.concat("_way.path", F.array(step)).alias("path"))).alias("way"))
+        known = best.select(*ring, "node", F.col("way").alias("_known"))
+        front = _kept(new.join(known, [*ring, "node"], "left").where("_known IS NULL OR way < _known").drop("_known"))
+        best = _kept(best.join(front.select(*ring, "node"), [*ring, "node"], "left_anti").unionByName(front))
+    return best.where(F.col("node") == F.col("_src")).select(*ring, F.col("way.path").alias("path"))
 
 
-def find_cycles(edges: DataFrame) -> DataFrame:
-    """Every cyclic component with its size and one ring; a node that points at
-    itself is a ring of its own (component, members, ring)."""
-    edges = cut_lineage(clean_edges(edges))
+def _closed(nodes: Column) -> Column:
+    """The ring that begins and ends at its least node."""
+    at = F.array_position(nodes, F.array_min(nodes)).cast("int")
+    turned = F.concat(F.slice(nodes, at, F.size(nodes)), F.slice(nodes, F.lit(1), at - 1))
+    return F.concat(turned, F.slice(turned, 1, 1))
+
+
+def find_rings(edges: DataFrame) -> DataFrame:
+    """Every ring that an edge to a smaller node closes: the shortest one through that edge (of several the one whose
+    nodes come first after it), once for the same nodes. ``component, members, ring``: the smallest node of the cyclic
+    component and how many nodes that has; the ring begins and ends at its own smallest node. A node that points at
+    itself is a ring of its own."""
+    edges = _kept(clean_edges(edges))
     loops = edges.where(F.col("src") == F.col("dst")).select(
         F.col("src").alias("component"), F.lit(1).cast("bigint").alias("members"),
         F.array("src", "dst").alias("ring"))
-    others = edges.where(F.col("src") != F.col("dst"))
-    members = components(others)
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    found = rings(others, members).join(sizes, "component").select("component", "members", "ring")
-    return found.unionByName(loops)
+    alive = trim(edges.where(F.col("src") != F.col("dst")))
+    core, passed, round_ones = _contracted(alive.select("src", "dst", F.col("dst").alias("via")))
+
+    # Components that are one ring: ranked from the least node on.
+    placed, _ = _ranked(round_ones.select("node", F.when(F.col("node") == F.col("low"), F.col("node")).otherwise(F.col("before")).alias("ptr")))
+    plain = (placed.groupBy(F.col("first").alias("component")).agg(F.array_sort(F.collect_list(F.struct("rank", "node"))).alias("l"))
+             .select("component", F.size("l").cast("bigint").alias("members"), _closed(F.transform("l", lambda x: x["node"])).alias("ring")))
+
+    chains = passed.groupBy("src", "via").agg(F.max("rank").alias("_rank"), F.bool_or(F.col("node") < F.col("before")).alias("_falls"),
+                                              F.max_by("node", "rank").alias("_last"))
+    core = core.join(chains, ["src", "via"], "left").select(
+        "src", "dst", "via", (F.coalesce("_rank", F.lit(-1)) + 2).alias("hops"),
+        (F.coalesce("_falls", F.lit(False)) | (F.col("dst") <= F.coalesce("_last", "src"))).alias("closes"))
+    core = _kept(core)
+    members = components(core.where(F.col("src") != F.col("dst")).select("src", "dst").distinct(), trimmed=True)
+    alone = core.where(F.col("src") == F.col("dst")).select(F.col("src").alias("node")).distinct().join(members, "node", "left_anti")
+    members = _kept(members.unionByName(alone.select("node", F.col("node").alias("component"))))
+    inner = _from_source(core, members.select(F.col("node").alias("src"), F.col("component").alias("_a")))
+    inner = _from_target(inner, members.select(F.col("node").alias("dst"), "component"))
+    inner = _kept(inner.where(F.col("_a") == F.col("component")).drop("_a"))
+    every = members.select("component", "node").unionByName(
+        passed.select("src", "via", "node").join(inner.select("src", "via", "component"), ["src", "via"]).select("component", "node"))
+    sizes = every.groupBy("component").agg(F.min("node").alias("_least"), F.count(F.lit(1)).alias("members"))
+
+    found = _kept(_shortest(inner.select("src", "dst", "via", "hops", "closes")))
+    ring = ["_src", "_via"]
+    parts = found.select(*ring, F.posexplode("path").alias("pos", "_e")).select(*ring, "pos", "_e.src", "_e.via")
+    nodes = parts.select(*ring, "pos", F.lit(-1).cast("bigint").alias("rank"), F.col("src").alias("node")).unionByName(
+        parts.join(passed.select("src", "via", "node", "rank"), ["src", "via"]).select(*ring, "pos", "rank", "node"))
+    listed = (nodes.groupBy(*ring).agg(F.array_sort(F.collect_list(F.struct("pos", "rank", "node"))).alias("l"))
+              .join(inner.select(F.col("src").alias("_src"), F.col("via").alias("_via"), "component"), ring)
+              .select("component", _closed(F.transform("l", lambda x: x["node"])).alias("ring")))
+    once = listed.groupBy("component", F.array_sort(F.array_distinct("ring")).alias("_set")).agg(F.min("ring").alias("ring"))
+    branched = once.join(sizes, "component").select(F.col("_least").alias("component"), "members", "ring")
+    return plain.unionByName(branched).unionByName(loops)
+
+
+def find_cycles(edges: DataFrame) -> DataFrame:
+    """Every cyclic component with its size and one ring, the shortest through its smallest node; a node that points
+    at itself is a ring of its own (component, members, ring)."""
+    through = find_rings(edges).where(F.col("ring")[0] == F.col("component")).withColumn("_loop", F.size("ring") == 2)
+    return (through.groupBy("component", "members", "_loop").agg(F.min(F.struct(F.size("ring").alias("n"), "ring")).alias("_best"))
+            .select("component", "members", F.col("_best.ring").alias("ring")))
 
 
 def cycle_findings(edges: DataFrame, graph: str = "depends_on") -> DataFrame:
-    """``ref.cycle`` findings (edges: src, dst as text)."""
+    """A ``ref.cycle`` finding for every ring (edges: src, dst as text)."""
     text = F.array_join(F.transform("ring", lambda n: n.cast("string")), " -> ")
-    return find_cycles(edges).select(
+    return find_rings(edges).select(
         F.lit("error").alias("level"), F.lit("ref.cycle").alias("code"),
-        F.col("component").cast("string").alias("file"), F.lit("").alias("path"),
+        F.col("ring")[0].cast("string").alias("file"), F.lit("").alias("path"),
         F.concat(F.lit("dependency cycle: "), text).alias("message"),
         F.lit(f"{graph} must be acyclic").alias("fix"))

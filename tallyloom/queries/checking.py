@@ -171,6 +171,32 @@ def _trim(spark, sf):
     return G.trim(G.clean_edges(edges(spark, sf)).where("src <> dst"))
 
 
+# Blocks of eight orders: each waits for the next one, and two short cuts close smaller rings that share nodes with the large one.
+RINGS_SQL = """e AS (SELECT o_orderkey AS src, o_orderkey - o_orderkey % 8 + (o_orderkey + 1) % 8 AS dst FROM orders WHERE o_orderpriority <> '5-LOW'
+  UNION SELECT o_orderkey, o_orderkey - 3 FROM orders WHERE o_orderkey % 8 IN (3, 6)),
+ walk AS (SELECT src AS a, dst AS b, dst AS node, [dst] AS path FROM e WHERE dst < src
+  UNION ALL SELECT a, b, e.dst, list_append(path, e.dst) FROM walk JOIN e ON e.src = node WHERE node <> a AND NOT list_contains(path, e.dst)),
+ least AS (SELECT a, b, arg_min(path, [[len(path)], path]) AS path FROM walk WHERE node = a GROUP BY ALL),
+ turned AS (SELECT path[list_position(path, list_min(path)):] || path[:list_position(path, list_min(path)) - 1] AS ring FROM least),
+ rings AS (SELECT MIN(ring) AS ring FROM turned GROUP BY list_sort(ring)),
+ reach AS (SELECT src AS a, dst AS b FROM e UNION SELECT a, dst FROM reach JOIN e ON src = b),
+ strong AS (SELECT x.a AS node, x.b AS other FROM reach x JOIN reach y ON x.a = y.b AND x.b = y.a),
+ sizes AS (SELECT node, MIN(other) AS component, COUNT(*) AS members FROM strong GROUP BY node)"""
+
+
+def ring_edges(spark: SparkSession, sf: str) -> DataFrame:
+    orders, key = table(spark, sf, "orders"), F.col("o_orderkey")
+    return (orders.where("o_orderpriority <> '5-LOW'").select(key.alias("src"), (key - key % 8 + (key + 1) % 8).alias("dst"))
+            .unionByName(orders.where("o_orderkey % 8 IN (3, 6)").select(key.alias("src"), (key - 3).alias("dst"))))
+
+
+@query("dependency_rings", f"""WITH RECURSIVE {RINGS_SQL}
+SELECT component, CAST(members AS BIGINT) AS members, array_to_string(list_append(ring, ring[1]), ' -> ') AS ring FROM rings JOIN sizes ON node = ring[1]""")
+def _rings(spark, sf):
+    """A ring for every edge that closes one."""
+    return G.find_rings(ring_edges(spark, sf)).withColumn("ring", F.array_join(F.col("ring").cast("array<string>"), " -> "))
+
+
 NAMES = ["security_class", "storage_gb", "cpu_cores", "deployment_model", "containerised", "classification_a", "team_id"]
 _NAMES_SQL = "(VALUES " + ", ".join(f"('{n}')" for n in NAMES) + ") o(name)"
 

@@ -38,6 +38,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write the rows as Parquet to the shared folder and go on from the files.
+
+    For loops: unlike a checkpoint, the files do not hand on what the optimizer has concluded about the
+    columns, which grows from round to round where they are renamed and joined again.
+    """
+    path = stage_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores, for parsing that costs far more than moving them.
 
