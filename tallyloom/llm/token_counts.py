@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from .common import mix, pieces, seeds
 
 CHUNK = 256
-KNOWN_BYTES = 32 << 20  # of words whose counts a worker keeps, and
-KNOWN_STEPS = 200_000  # transitions of the counter; when either is full, both are forgotten and learned anew
+KNOWN_BYTES = 64 << 20  # of words whose counts a worker keeps, and
+KNOWN_STEPS = 600_000  # transitions of the counter; when either is full, it is forgotten and learned anew
 
 # White_Space of Unicode.
 SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -172,6 +172,8 @@ class Counter:
                     self.token.append(-1)
                 node = nxt
             self.token[node] = i
+        self.known: dict[bytes, int] = {}
+        self.held = 0
         self._forget()
 
     def _forget(self) -> None:
@@ -180,8 +182,7 @@ class Counter:
         self.content: list[tuple] = []
         self.steps: list[dict[int, tuple[int, int]]] = []
         self.start = self._state(((0, -1, 0),))
-        self.known: dict[bytes, int] = {}
-        self.held, self.made = 0, 0
+        self.made = 0
 
     def _state(self, content: tuple) -> int:
         found = self.states.get(content)
@@ -249,7 +250,8 @@ class Counter:
                 state = step[0]
                 total += step[1]
             if self.held >= KNOWN_BYTES:
-                self._forget()
+                self.known.clear()
+                self.held = 0
             self.known[word] = total
             self.held += len(word) + 100
         return total
