@@ -21,7 +21,9 @@ from ..functions.numbers import percent
 from ..functions.similarity import closest_by_edits, closest_word
 from ..functions.text import UNKNOWN
 from ..schema import (ANNOTATIONS, DATE_SHAPE, ID_SHAPE, SCHEMA_VERSION, VERSION_SHAPE, walk)
+from ..session import cut_lineage
 from .keyed import attach_by_key, small_side
+from .nearest import nearest_words
 
 ERROR, WARNING, INFO = "error", "warning", "info"
 FINDING = ("level", "code", "file", "path", "message", "fix")
@@ -335,34 +337,20 @@ def check_dangling(leaves: DataFrame, ids: DataFrame) -> DataFrame:
     """Dependencies on documents that do not exist.
 
     Targets are reduced to distinct values before they meet the ids, so a
-    target named by every document is looked up once.
+    target named by every document is looked up once. A missing one comes with the
+    closest id there is (see ``nearest_words``).
     """
     edges = leaves.where(F.col("ref") == "projects").select("file", "path", "value")
     targets = edges.groupBy("value").agg(F.count(F.lit(1)).alias("_n"))
     missing = targets.join(ids.select(F.col(ids.columns[0]).alias("value")).distinct(), "value", "left_anti")
-    missing = missing.join(_one_edit_away(missing, ids), "value", "left")
+    missing = cut_lineage(missing)
+    missing = missing.join(nearest_words(missing.select("value"), ids), "value", "left")
     rows = attach_by_key(edges, missing, ["value"], weight="_n")
     return finding(rows, ERROR, "ref.unknown-projects", F.col("path"),
                    F.concat(_leaf_name(), F.lit(": depends on '"), "value", F.lit("', which is not a known project")),
                    F.concat(F.lit("did you mean: "), "near"))
 
 
-def _one_edit_away(missing: DataFrame, ids: DataFrame) -> DataFrame:
-    """``value, near``: the first id by name that one insertion, deletion or replacement makes of a value.
-
-    Two such words share what is left when one letter is taken out of the one, the
-    other or both. So they meet by an equal key, never all with all."""
-    def shortened(word: str) -> Column:
-        w = F.col(word)
-        cut = F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))),
-                          lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
-        return F.explode(F.array_distinct(F.array_append(cut, w)))
-    known = ids.select(F.col(ids.columns[0]).alias("near")).distinct()
-    left = missing.select("value", shortened("value").alias("_key"))
-    met = left.join(known.select("near", shortened("near").alias("_key")), "_key")
-    return met.where(F.levenshtein("value", "near") == 1).groupBy("value").agg(F.min("near").alias("near"))
-
-
 def check_duplicate_ids(ids: DataFrame) -> DataFrame:
     """The second and later file with an id, naming the first (id, file)."""
     used = ids.where(F.coalesce(F.col("id"), F.lit("")) != "")

@@ -64,7 +64,9 @@ def _advice(value: str, words: list[str]) -> str:
 
 
 def _near_id(value: str) -> str:
-    return f"(SELECT 'did you mean: ' || min('o-' || i.o_orderkey) FROM orders i WHERE levenshtein('o-' || i.o_orderkey, {value}) = 1)"
+    """SQL of the closest id of all."""
+    return (f"(SELECT 'did you mean: ' || first(id ORDER BY s DESC, id) FROM (SELECT 'o-' || i.o_orderkey AS id, 1 - levenshtein('o-' || i.o_orderkey, {value}) / "
+            f"greatest(length('o-' || i.o_orderkey), length({value}))::DOUBLE AS s FROM orders i) WHERE s >= {SUGGESTION_RATIO})")
 
 
 def _bad_code(path: str, name: str, value: str, where: str) -> str:
