@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.known import is_known
 from ..functions.paths import Paths
 from ..functions.text import first_text
-from .validate import FINDING, WARNING
+from .validate import FINDING, WARNING, as_rows
 
 # Fixed values of the shipped rules.
 LONG_RTO_HOURS = 168
@@ -39,30 +39,30 @@ class Rules:
         self.rules.append(Rule(code, level, path, when, text))
         return self
 
-    def apply(self, docs: DataFrame, column: str = "doc") -> DataFrame:
-        """Findings of all rules, one pass over the documents.
-
-        A rule that cannot be built for these documents gives one warning.
-        """
+    def hits(self, docs: DataFrame, column: str = "doc") -> tuple[list[Column], DataFrame]:
+        """A hit or NULL for each rule, as columns, and the warnings for rules
+        that cannot be built for these documents."""
         paths = Paths(docs, column)
         hits, crashed = [], []
         for rule in self.rules:
             try:
                 when = F.coalesce(rule.when(paths), F.lit(False))
                 hit = F.when(when, F.struct(F.lit(rule.level).alias("level"), F.lit(rule.code).alias("code"),
-                                            F.lit(rule.path).alias("path"), rule.message(paths).alias("message")))
+                                            F.lit(rule.path).alias("path"), rule.message(paths).alias("message"),
+                                            F.lit(None).cast("string").alias("fix")))
                 docs.select(hit)  # resolves the columns now, without running anything
                 hits.append(hit)
             except Exception as broken:  # a broken rule must not fail the run
                 crashed.append((WARNING, "plausible.rule-crashed", None, "",
                                 f"plausibility rule {rule.code!r} crashed: {type(broken).__name__}", None))
         ddl = "level string, code string, file string, path string, message string, fix string"
-        out = docs.sparkSession.createDataFrame(crashed, ddl)
+        return hits, docs.sparkSession.createDataFrame(crashed, ddl)
+
+    def apply(self, docs: DataFrame, column: str = "doc") -> DataFrame:
+        """Findings of all rules, one pass over the documents."""
+        hits, out = self.hits(docs, column)
         if hits:
-            found = (docs.select("file", F.explode_outer(F.array_compact(F.array(*hits))).alias("r"))
-                     .where(F.col("r").isNotNull()))
-            out = found.select("r.level", "r.code", "file", "r.path", "r.message",
-                               F.lit(None).cast("string").alias("fix")).unionByName(out)
+            out = as_rows(docs, F.array_compact(F.array(*hits))).select(*FINDING).unionByName(out)
         return out.select(*FINDING)
 
 

@@ -148,19 +148,29 @@ def _joined(checks: Sequence[Check], ones: list, lists: list) -> Column:
     return F.concat(found, *[F.coalesce(v, none) for v in lists]) if lists else found
 
 
-def apply_checks(docs: DataFrame, schema: T.StructType, *checks: Check, column: str = "doc") -> DataFrame:
-    """Rows of all results: ``file`` and the fields of the result."""
+def results_of(schema: T.StructType, *checks: Check, column: str = "doc") -> Column:
+    """The list of all results of the checks for one document."""
     root = F.col(column)
     ones: list[Column] = []
     lists: list[Column] = []
     _run(_block("", schema, {}), root, "$", F.lit(""), checks, ones, lists)
     _below(schema, root, "", None, "", checks, ones, lists)
+    return _joined(checks, ones, lists)
+
+
+def as_rows(docs: DataFrame, results: Column) -> DataFrame:
+    """``file`` and the fields of each result."""
     # The outer form keeps Spark from testing the size of the list first, which
     # would read every document twice.
-    rows = docs.select("file", F.explode_outer(_joined(checks, ones, lists)).alias("h"))
+    rows = docs.select("file", F.explode_outer(results).alias("h"))
     return rows.where(F.col("h").isNotNull()).select("file", "h.*")
 
 
+def apply_checks(docs: DataFrame, schema: T.StructType, *checks: Check, column: str = "doc") -> DataFrame:
+    """Rows of all results: ``file`` and the fields of the result."""
+    return as_rows(docs, results_of(schema, *checks, column=column))
+
+
 # ----------------------------------------------------------------- checks
 
 def check_parse(parsed: DataFrame) -> DataFrame:
@@ -210,7 +220,7 @@ def required_check() -> Check:
 def type_check() -> Check:
     def make(place: Place, root: Column, at: str, path: Column) -> Column:
         kind = place.meta.get("kind")
-        shape = F.substring_index(F.schema_of_variant(F.try_variant_get(root, at, "variant")), "<", 1)
+        shape = _shape(place, root, at)
         fault = type_fault(shape, F.try_variant_get(root, at, "string"), place)
         expected = f"{place.name}: expected {kind or place.shape}, got "
         return F.when(fault.isNotNull(), _hit(F.concat(F.lit("structure."), fault), path,
@@ -219,6 +229,19 @@ def type_check() -> Check:
     return Check(_HIT, lambda p: p.pattern != "" and p.shape != "any", make)
 
 
+def _shape(place: Place, root: Column, at: str) -> Column:
+    """ARRAY, OBJECT or the scalar type of a value; NULL where there is none.
+
+    The printed schema of a whole block or list is as long as its content, so
+    places that hold one are first asked whether they are what they should be."""
+    printed = F.substring_index(F.schema_of_variant(F.try_variant_get(root, at, "variant")), "<", 1)
+    if place.shape == "block":
+        return F.when(F.try_variant_get(root, at, "map<string,variant>").isNotNull(), F.lit("OBJECT")).otherwise(printed)
+    if place.shape in ("list", "records"):
+        return F.when(F.try_variant_get(root, at, "array<variant>").isNotNull(), F.lit("ARRAY")).otherwise(printed)
+    return printed
+
+
 def _structure(docs: DataFrame, schema: T.StructType, *checks: Check) -> DataFrame:
     rows = apply_checks(docs, schema, *checks)
     return rows.select(F.lit(ERROR).alias("level"), "code", "file", "path", "message", "fix")
@@ -271,12 +294,8 @@ def type_fault(shape: Column, text: Column, place: Place) -> Column:
 _LEAF = "struct<path:string,pattern:string,taxonomy:string,ref:string,value:string>"
 
 
-def coded_leaves(docs: DataFrame, schema: T.StructType, refs: Sequence[str] | None = None) -> DataFrame:
-    """Known text values that must be a code or exist elsewhere.
-
-    ``refs`` limits them to the fields that point at those lists; only fields
-    that are asked for are read.
-    """
+def leaf_check(refs: Sequence[str] | None = None) -> Check:
+    """Known text values that must be a code or exist elsewhere."""
     def want(place: Place) -> bool:
         if place.shape != "scalar":
             return False
@@ -292,25 +311,44 @@ def coded_leaves(docs: DataFrame, schema: T.StructType, refs: Sequence[str] | No
             F.lit(place.meta.get("taxonomy")).cast("string").alias("taxonomy"),
             F.lit(place.meta.get("ref")).cast("string").alias("ref"), text.alias("value")))
 
-    return apply_checks(docs, schema, Check(_LEAF, want, make))
+    return Check(_LEAF, want, make)
+
+
+def coded_leaves(docs: DataFrame, schema: T.StructType, refs: Sequence[str] | None = None) -> DataFrame:
+    """Rows of the values above. ``refs`` limits them to the fields that point
+    at those lists; only fields that are asked for are read."""
+    return apply_checks(docs, schema, leaf_check(refs))
 
 
 def _leaf_name(path: str = "path") -> Column:
     return F.regexp_replace(F.substring_index(path, ".", -1), r"\[\d+\]$", "")
 
 
+def _pointers(taxonomy: Column, ref: Column) -> Column:
+    """The lists (source, group) that a value has to be in. The ids of documents are a source of their own."""
+    return F.array_compact(F.array(
+        F.when(taxonomy.isNotNull(), F.struct(F.lit("taxonomy").alias("source"), taxonomy.alias("group"))),
+        F.when(ref.isNotNull(), F.struct(F.when(ref == "projects", ref).otherwise(F.lit("reference")).alias("source"), ref.alias("group")))))
+
+
+def _codes(dims: DataFrame) -> DataFrame:
+    return dims.select("source", "group", F.col("code").alias("value"))
+
+
 def check_lists(leaves: DataFrame, dims: DataFrame, source: str | None = None) -> DataFrame:
     """Values that are in neither their taxonomy group nor their reference
-    list. Both are anti joins against the same dimension, in one pass."""
-    wanted = F.array_compact(F.array(
-        F.when(F.col("taxonomy").isNotNull(), F.struct(F.lit("taxonomy").alias("source"), F.col("taxonomy").alias("group"))),
-        F.when(F.col("ref").isNotNull() & (F.col("ref") != "projects"),
-               F.struct(F.lit("reference").alias("source"), F.col("ref").alias("group")))))
-    rows = leaves.select("file", "path", "value", F.explode(wanted).alias("w")).select("file", "path", "value", "w.*")
-    codes = dims.select("source", "group", F.col("code").alias("value"))
+    list. Both are anti joins against the same dimension, in one pass; the wrong
+    values are written once, so nothing is looked up where none is wrong."""
+    rows = leaves.select("file", "path", "value", F.explode(_pointers(F.col("taxonomy"), F.col("ref"))).alias("w")).select(
+        "file", "path", "value", "w.*").where("source <> 'projects'")
+    codes = _codes(dims)
     if source:
         rows, codes = rows.where(F.col("source") == source), codes.where(F.col("source") == source)
-    rows = rows.join(small_side(codes), ["source", "group", "value"], "left_anti")
+    return _wrong_values(cut_lineage(rows.join(small_side(codes), ["source", "group", "value"], "left_anti")), codes)
+
+
+def _wrong_values(rows: DataFrame, codes: DataFrame) -> DataFrame:
+    """Findings for values that are not in their list, with the closest code or all of them."""
     # Each different wrong value is looked up once among the codes of its own list.
     lists = codes.groupBy("source", "group").agg(F.array_sort(F.collect_set("value")).alias("words"))
     wrong = rows.groupBy("source", "group", "value").agg(F.count(F.lit(1)).alias("_n")).join(small_side(lists), ["source", "group"], "left")
@@ -361,11 +399,34 @@ def check_duplicate_ids(ids: DataFrame) -> DataFrame:
                    F.concat(F.lit("project id '"), "id", F.lit("' is also used by "), "_first"))
 
 
-def check_documents(docs: DataFrame, schema: T.StructType, dims: DataFrame, ids: DataFrame) -> DataFrame:
-    """Structure, codes and references: three passes over the documents."""
-    leaves = coded_leaves(docs, schema)
-    edges = coded_leaves(docs, schema, refs=["projects"])
-    return union_findings(check_structure(docs, schema), check_lists(leaves, dims), check_dangling(edges, ids))
+def check_documents(docs: DataFrame, schema: T.StructType, dims: DataFrame, ids: DataFrame,
+                    rules: Sequence[Column] = ()) -> DataFrame:
+    """Structure, codes, references and rules in one pass over the documents.
+
+    A document becomes one tagged list: its structure findings, its rule hits
+    (``rules``, see ``Rules.hits``) and its values to look up. Values that are
+    in their list go before anything is written; the rest is written once.
+    """
+    none = F.lit(None).cast("string")
+    told = lambda level, h: F.struct(
+        level.alias("level"), h["code"].alias("code"), h["path"].alias("path"), h["message"].alias("message"),
+        h["fix"].alias("fix"), none.alias("source"), none.alias("group"), none.alias("value"))
+    asked = lambda path, source, group, value: F.struct(
+        none.alias("level"), none.alias("code"), path.alias("path"), none.alias("message"), none.alias("fix"),
+        source.alias("source"), group.alias("group"), value.alias("value"))
+    structure = F.transform(results_of(schema, unknown_field_check(), required_check(), type_check()),
+                            lambda h: told(F.lit(ERROR), h))
+    looked_up = F.flatten(F.transform(results_of(schema, leaf_check()), lambda v: F.transform(
+        _pointers(v["taxonomy"], v["ref"]), lambda w: asked(v["path"], w["source"], w["group"], v["value"]))))
+    hits = [F.transform(F.array_compact(F.array(*rules)), lambda h: told(h["level"], h))] if rules else []
+    # Rows without a list get their file as group, so that a shuffle join spreads them.
+    rows = as_rows(docs, F.concat(structure, looked_up, *hits)).withColumn("group", F.coalesce("group", "file"))
+    codes = _codes(dims)
+    rows = cut_lineage(rows.join(small_side(codes), ["source", "group", "value"], "left_anti"))
+    values = rows.where("level IS NULL").select("file", "path", "source", "group", "value")
+    pointing = values.where("source = 'projects'").select("file", "path", "value", F.lit("projects").alias("ref"))
+    return union_findings(rows.where("level IS NOT NULL").select(*FINDING),
+                          _wrong_values(values.where("source <> 'projects'"), codes), check_dangling(pointing, ids))
 
 
 # ---------------------------------------------------------------- reports

@@ -260,8 +260,8 @@ def _registry(spark, sf):
 
 def all_findings(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    checked = V.check_documents(docs, project_schema(), code_lists(spark), _ids(spark, sf))
-    return checked.unionByName(shipped_rules().apply(docs))
+    hits, crashed = shipped_rules().hits(docs)
+    return V.check_documents(docs, project_schema(), code_lists(spark), _ids(spark, sf), hits).unionByName(crashed)
 
 
 ALL_SQL = "\nUNION ALL ".join([UNKNOWN_SQL, REQUIRED_SQL, TYPES_SQL, CODES_SQL, REFERENCES_SQL, ALL_RULES_SQL])
