@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent
 from ..functions.text import UNKNOWN
-from ..sources.dimensions import axis, with_colour, with_labels
+from ..session import cut_lineage
+from ..sources.dimensions import Group, axis, with_colour, with_labels
+from .keyed import row_numbers, small_side
 
 
 @dataclass(frozen=True)
@@ -90,7 +92,7 @@ def count_by(df: DataFrame, definition: Definition, *columns: str, key: str = "p
     return slim.select(*codes, *keep).groupBy(*columns).agg(measure(definition, None, key).alias("value"))
 
 
-def distribution(df: DataFrame, definition: Definition, column: str, dims: DataFrame, group: str | None,
+def distribution(df: DataFrame, definition: Definition, column: str, dims: DataFrame, group: Group,
                  key: str = "project_id") -> DataFrame:
     """Every code of the axis in order with zeros, then codes nobody declared,
     and always ``unknown``. Columns: the code, position, labels, colour, value.
@@ -124,7 +126,7 @@ def ordered(table: DataFrame, column: str) -> DataFrame:
     return table.orderBy(late, F.col("position").asc_nulls_last(), column)
 
 
-def axis_codes(df: DataFrame, definition: Definition, column: str, dims: DataFrame, group: str | None,
+def axis_codes(df: DataFrame, definition: Definition, column: str, dims: DataFrame, group: Group,
                limit: int = 10_000) -> list[str]:
     """All codes of one axis in order, for use as columns.
 
@@ -141,7 +143,7 @@ def axis_codes(df: DataFrame, definition: Definition, column: str, dims: DataFra
 
 
 def cross_tab(df: DataFrame, definition: Definition, row: str, column: str, dims: DataFrame,
-              row_group: str | None, column_group: str | None, key: str = "project_id",
+              row_group: Group, column_group: Group, key: str = "project_id",
               columns: Sequence[str] | None = None) -> DataFrame:
     """Counts of two codes against each other, zero-filled, with a row total.
 
@@ -159,17 +161,48 @@ def cross_tab(df: DataFrame, definition: Definition, row: str, column: str, dims
     return wide.join(codes, row, "full_outer").select(row, "position", *cells, total.cast("bigint").alias("total"))
 
 
-def cross_tab_long(wide: DataFrame, row: str, column: str) -> DataFrame:
-    """The cells of a cross-tab as rows (row code, column code, place, value)."""
-    cells = [c for c in wide.columns if c not in (row, "position", "total")]
-    place = F.create_map(*[x for i, c in enumerate(cells) for x in (F.lit(c), F.lit(i))])
-    long = wide.unpivot([row, "position", "total"], cells, column, "value")
-    return long.withColumn("column_position", F.try_element_at(place, F.col(column)))
+# Blocks of a zero-filled cross-tab: its columns are spread over them, and each row goes to all.
+BLOCKS = 64
+
+
+def cross_tab_cells(df: DataFrame, definition: Definition, row: str, column: str, dims: DataFrame,
+                    row_group: Group, column_group: Group, key: str = "project_id", fill: bool = True) -> DataFrame:
+    """The cells of a cross-tab as rows: row code, its position, column code, its place among the columns, value, and
+    the total of the row. For any number of codes: nothing becomes a column.
+
+    ``df`` is read once. ``fill`` gives a row for every row code and column code, as the wide form does; without it only
+    cells that occur have one. Codes are those of the axis, what else occurs, and ``unknown``.
+    """
+    if row not in df.columns or column not in df.columns:
+        return df.sparkSession.createDataFrame([], f"`{row}` string, position int, total bigint, `{column}` string, value bigint, "
+                                                   "column_position int")
+    counted = cut_lineage(count_by(df, definition, row, column, key=key))
+    rows = _codes_seen(counted, row, dims, row_group).join(
+        counted.groupBy(F.col(row).alias("code")).agg(F.sum("value").alias("total")), "code", "left")
+    rows = rows.select(F.col("code").alias(row), "position", F.coalesce("total", F.lit(0)).alias("total"))
+    late = F.col("position").isNull() & (F.col("code") == UNKNOWN)
+    columns = row_numbers(_codes_seen(counted, column, dims, column_group), [late, F.col("position").asc_nulls_last(), "code"])
+    columns = columns.select(F.col("code").alias(column), (F.col("row_no") - 1).cast("int").alias("column_position"))
+    if fill:
+        block = F.pmod(F.xxhash64(column), F.lit(BLOCKS)).cast("int").alias("_block")
+        rows = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
+        cells = rows.join(small_side(columns.select("*", block)), "_block").drop("_block").join(counted, [row, column], "left")
+    else:
+        cells = counted.join(rows, row).join(columns, column)
+    return cells.select(row, "position", "total", column, F.coalesce("value", F.lit(0)).alias("value"), "column_position")
+
+
+def _codes_seen(counted: DataFrame, column: str, dims: DataFrame, group: Group) -> DataFrame:
+    """Codes of an axis with their positions, and those that occur without one."""
+    seen = counted.select(F.col(column).alias("code"), F.lit(None).cast("int").alias("position"))
+    return (_with_unknown(axis(dims, group).select("code", "position")).unionByName(seen)
+            .groupBy("code").agg(F.min("position").alias("position")))
 
 
 def coverage(projects: DataFrame, team: str = "team_id", confidence: str = "confidence") -> DataFrame:
-    """Raw and verified coverage, two numbers, per team and in total."""
-    rolled = (projects.rollup(team)
+    """Raw and verified coverage, two numbers, per team and in total. A missing team counts as ``unknown``."""
+    named = projects.withColumn(team, F.coalesce(F.col(team).cast("string"), F.lit(UNKNOWN)))
+    rolled = (named.rollup(team)
               .agg(F.grouping(team).alias("_all"), F.count(F.lit(1)).alias("projects"),
                    F.coalesce(F.sum("fields_filled"), F.lit(0)).alias("_filled"),
                    F.coalesce(F.sum("fields_tracked"), F.lit(0)).alias("_tracked"),

@@ -23,6 +23,7 @@ from ..functions.text import UNKNOWN
 from ..schema import (ANNOTATIONS, DATE_SHAPE, ID_SHAPE, SCHEMA_VERSION, VERSION_SHAPE, walk)
 from ..session import cut_lineage
 from .keyed import attach_by_key, small_side
+from .measures import coverage
 from .nearest import nearest_words
 
 ERROR, WARNING, INFO = "error", "warning", "info"
@@ -476,19 +477,8 @@ def attach_positions(findings: DataFrame, positions: DataFrame) -> DataFrame:
 
 
 def coverage_report(projects: DataFrame, team: str = "team_id", confidence: str = "confidence") -> DataFrame:
-    """Filled and verified share per team and in total, in one pass.
-
-    The two shares are never merged. The total has ``scope`` = total.
-    """
-    known = projects.select(F.coalesce(team, F.lit(UNKNOWN)).alias("team_id"), "fields_filled", "fields_tracked",
-                            F.coalesce(F.col(confidence), F.lit(UNKNOWN)).alias("_c"))
-    sums = known.rollup("team_id").agg(
-        F.grouping("team_id").alias("_all"), F.count(F.lit(1)).alias("projects"), F.sum("fields_filled").alias("filled"),
-        F.sum("fields_tracked").alias("tracked"), F.count_if(F.col("_c") == "verified").alias("verified"))
-    return sums.select(F.when(F.col("_all") == 1, F.lit("total")).otherwise(F.lit("team")).alias("scope"),
-                       F.when(F.col("_all") == 0, F.col("team_id")).alias("team_id"), "projects",
-                       percent("filled", "tracked").alias("coverage_pct"),
-                       percent("verified", "projects").alias("verified_pct"))
+    """Filled and verified share per team and in total, as the report model gives them."""
+    return coverage(projects, team, confidence)
 
 
 def coverage_by_project(projects: DataFrame) -> DataFrame:

@@ -42,12 +42,11 @@ def build_model(tables: Mapping[str, DataFrame], spec: Mapping, definitions: Seq
         df = tables[d.grain]
         if kind == "distribution":
             wanted = [item["column"]]
-            model.tables[key] = distribution(df, d, item["column"], dims, item.get("taxonomy") or item.get("reference"))
+            model.tables[key] = distribution(df, d, item["column"], dims, _group(item))
         elif kind == "cross_tab":
             wanted = [item["rows"], item["columns"]]
             model.tables[key] = cross_tab(df, d, item["rows"], item["columns"], dims,
-                                          item.get("rows_taxonomy") or item.get("rows_reference"),
-                                          item.get("columns_taxonomy") or item.get("columns_reference"))
+                                          _group(item, "rows_"), _group(item, "columns_"))
         else:
             raise ValueError(f"table {key!r} has unknown kind {kind!r}, known: {', '.join(KINDS)}")
         missing = [c for c in wanted if c not in df.columns]
@@ -69,6 +68,13 @@ def build_model(tables: Mapping[str, DataFrame], spec: Mapping, definitions: Seq
     return model
 
 
+def _group(item: Mapping, prefix: str = "") -> tuple[str, str] | None:
+    for source in ("taxonomy", "reference"):
+        if item.get(prefix + source):
+            return source, item[prefix + source]
+    return None
+
+
 def table_info(spark, model: Model) -> DataFrame:
     rows = [(k, i["kind"], i["definition"], i["grain"], i["counts"], i["available"], i["note"])
             for k, i in sorted(model.info.items())]

@@ -52,8 +52,8 @@ def _pivot(spark, sf):
 SELECT r AS datacenter, c AS os_family, value, CAST(COALESCE(SUM(value) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
   total, ROUND(total / (SELECT MAX(total) FROM g), 4) AS share FROM g""")
 def _bars(spark, sf):
-    wide = M.cross_tab(environments(spark, sf), SITE_OS, "datacenter", "os_family", dims(spark), "sites", "system")
-    return P.bar_series(M.cross_tab_long(wide, "datacenter", "os_family"), "datacenter", "os_family")
+    cells = M.cross_tab_cells(environments(spark, sf), SITE_OS, "datacenter", "os_family", dims(spark), "sites", "system")
+    return P.bar_series(cells, "datacenter", "os_family")
 
 
 @query("row_paging", """SELECT c_custkey, CAST(floor((row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) - 1) / 10) + 1 AS BIGINT) AS page,

@@ -14,7 +14,7 @@ from ..functions.text import UNKNOWN
 from ..operators import measures as M
 from ..operators.flatten import with_placeholders
 from ..operators.validate import coverage_by_project, coverage_report
-from ..plans.report import build_model
+from ..plans.report import build_model, table_info
 from ..sources.dimensions import axis, dimension_from, load_dimensions, with_colour, with_labels
 from ..sources.tables import model_lines
 from .registry import query, table
@@ -195,8 +195,20 @@ SELECT r AS datacenter, CAST(position AS INT) AS position, c AS os_family, CAST(
        COALESCE(n, 0) AS value, CAST(SUM(COALESCE(n, 0)) OVER (PARTITION BY r) AS BIGINT) AS total
 FROM rws CROSS JOIN cls LEFT JOIN counted USING (r, c)""")
 def _cross_tab_cells(spark, sf):
-    wide = M.cross_tab(environments(spark, sf), SITE_OS, "datacenter", "os_family", dims(spark), "sites", "system")
-    return M.cross_tab_long(wide, "datacenter", "os_family")
+    return M.cross_tab_cells(environments(spark, sf), SITE_OS, "datacenter", "os_family", dims(spark), ("reference", "sites"), ("taxonomy", "system"))
+
+
+@query("cross_tab_large", """
+WITH counted AS (SELECT l_returnflag AS flag, CAST(l_partkey AS VARCHAR) AS part, COUNT(*) AS n FROM lineitem GROUP BY 1, 2),
+ cols AS (SELECT part, CAST(row_number() OVER (ORDER BY part) - 1 AS INT) AS column_position FROM (SELECT DISTINCT part FROM counted)),
+ rws AS (SELECT code AS flag, position FROM """ + SITES_SQL + """ UNION ALL SELECT DISTINCT flag, NULL FROM counted WHERE flag NOT IN ('A', 'R', 'X', 'unknown')),
+ grid AS (SELECT flag, position, part, column_position FROM rws, (SELECT * FROM cols UNION ALL SELECT 'unknown', CAST((SELECT COUNT(*) FROM cols) AS INT)) c)
+SELECT flag, CAST(position AS INT) AS position, CAST(SUM(COALESCE(n, 0)) OVER (PARTITION BY flag) AS BIGINT) AS total, part, column_position,
+ COALESCE(n, 0) AS value FROM grid LEFT JOIN counted USING (flag, part)""")
+def _cross_tab_large(spark, sf):
+    """Every part is a column code: far more than columns can hold."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_partkey").cast("string").alias("part"))
+    return M.cross_tab_cells(rows, SITE_OS, "flag", "part", dims(spark), ("reference", "sites"), None)
 
 
 @query("absent_column", """SELECT CAST(NULL AS VARCHAR) AS backup_class, CAST(NULL AS INT) AS position,
@@ -206,6 +218,21 @@ def _absent(spark, sf):
     return M.distribution(projects(spark, sf), TOTAL, "backup_class", dims(spark), "priority")
 
 
+@query("absent_column_note", f"""WITH {DATASTORES_SQL}
+SELECT 'by_backup' AS "table", FALSE AS available, 'Field backup is not present in the data.' AS note, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS total
+UNION ALL SELECT 'by_engine', TRUE, NULL, 6 + COUNT(DISTINCT engine) FILTER (WHERE engine NOT IN ('1-URGENT','2-HIGH','3-MEDIUM','5-LOW','none','unknown')),
+  (SELECT SUM(v) FROM (SELECT COUNT(DISTINCT project_id) AS v FROM datastores GROUP BY engine)) FROM datastores
+UNION ALL SELECT 'by_site', TRUE, NULL, 4 + COUNT(DISTINCT l_returnflag) FILTER (WHERE l_returnflag NOT IN ('A','R','X','unknown')), COUNT(*) FROM lineitem""")
+def _absent_note(spark, sf):
+    """A field that nobody has collected stands as not available, beside tables that have theirs."""
+    model = report_model(spark, sf)
+    counted = None
+    for name in ("by_backup", "by_engine", "by_site"):
+        one = model.tables[name].agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("value"), F.lit(0)).alias("total")).withColumn("table", F.lit(name))
+        counted = one if counted is None else counted.unionByName(one)
+    return counted.join(table_info(spark, model), "table").select("table", "available", "note", "n", "total")
+
+
 @query("label_lookup", f"""
 SELECT o_orderkey, o_orderpriority, COALESCE(label_de, o_orderpriority) AS o_orderpriority_label_de,
        COALESCE(label_en, o_orderpriority) AS o_orderpriority_label_en

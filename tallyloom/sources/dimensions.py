@@ -77,9 +77,19 @@ def _last_unknown():
     return (F.col("code") == UNKNOWN).cast("int").alias("position")
 
 
-def axis(dims: DataFrame, group: str | None) -> DataFrame:
-    """Codes of one axis in order: (code, position, label_de, label_en, colour)."""
-    return dims.where(F.col("group") == group).select("code", "position", "label_de", "label_en", "colour")
+Group = str | tuple[str, str] | None
+
+
+def axis(dims: DataFrame, group: Group) -> DataFrame:
+    """Codes of one axis in order: (code, position, label_de, label_en, colour).
+
+    ``group`` is (source, name), or a name alone; a name that both sources have
+    then means the taxonomy group."""
+    columns = ("code", "position", "label_de", "label_en", "colour")
+    if isinstance(group, tuple):
+        return dims.where((F.col("source") == group[0]) & (F.col("group") == group[1])).select(*columns)
+    named = dims.where(F.col("group") == group)
+    return named.where(F.col("source") == named.agg(F.max("source")).scalar()).select(*columns)
 
 
 def unknown_colour(dims: DataFrame) -> DataFrame:
@@ -89,7 +99,7 @@ def unknown_colour(dims: DataFrame) -> DataFrame:
     return shades.agg(F.when(F.min("colour") == F.max("colour"), F.min("colour")).alias("colour"))
 
 
-def with_labels(df: DataFrame, column: str, dims: DataFrame, group: str,
+def with_labels(df: DataFrame, column: str, dims: DataFrame, group: Group,
                 languages: tuple[str, ...] = ("de", "en")) -> DataFrame:
     """Add ``<column>_label_<lang>``; a code without label shows itself."""
     codes = axis(dims, group).select(F.col("code").alias(column), *[f"label_{lang}" for lang in languages])
@@ -98,7 +108,7 @@ def with_labels(df: DataFrame, column: str, dims: DataFrame, group: str,
                                         for lang in languages])
 
 
-def with_colour(df: DataFrame, column: str, dims: DataFrame, group: str) -> DataFrame:
+def with_colour(df: DataFrame, column: str, dims: DataFrame, group: Group) -> DataFrame:
     """Add ``<column>_colour``: the code's own, or the shared one of unknown."""
     codes = axis(dims, group).select(F.col("code").alias(column), F.nullif(F.col("colour"), F.lit("")).alias("_own"))
     shared = unknown_colour(dims).scalar()
