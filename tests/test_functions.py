@@ -80,3 +80,11 @@ def test_ids_count_up_past_taken_ones(spark):
     bulk = spark.range(500).select(F.lit("Gleich").alias("n"), F.concat(F.lit("gleich!"), F.repeat(F.lit("!"), F.col("id").cast("int"))).alias("k"), F.col("id").alias("r"))
     ids = [r["project_id"] for r in assign_ids(bulk, "k", "r").orderBy("r").collect()]
     assert ids == ["gleich"] + [f"gleich-{i}" for i in range(2, 501)]
+
+
+def test_tasks_that_parse_are_even_and_of_bounded_size(spark, tmp_path):
+    from tallyloom import session
+
+    spark.range(3 * session.TASK_ROWS * 8).coalesce(1).write.parquet(str(tmp_path / "large"))
+    sizes = [len(list(p)) for p in session.spread(spark.read.parquet(str(tmp_path / "large"))).rdd.mapPartitions(lambda p: [[None] * sum(1 for _ in p)]).collect()]
+    assert len(sizes) == 24 and max(sizes) <= 1.1 * session.TASK_ROWS
