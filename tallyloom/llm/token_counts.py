@@ -161,6 +161,10 @@ class Counter:
         self.single = {t: i for i, t in self.bytes.items() if len(t) == 1}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         self.rank = {(number[a], number[b]): (n, number[a + b]) for n, (a, b) in enumerate(pairs)}
+        # How a token came to be: rank, left and right part. Only where each comes from one pair is that its history.
+        self.made_of = {whole: (n, *pair) for pair, (n, whole) in self.rank.items()}
+        self.plain = len(self.made_of) == len(self.rank)
+        self.whole: dict[int, bool] = {}
         self.children, self.token = [{}], [-1]
         for i, word in self.bytes.items():
             node = 0
@@ -213,10 +217,40 @@ class Counter:
         """BPE leaves these two tokens side by side (left -1: at the beginning)."""
         ok = self.pairs.get((left, right))
         if ok is None:
-            want = [right] if left < 0 else [left, right]
-            ok = self.pairs[left, right] = self._merged(b"".join(self.bytes[t] for t in want)) == want
+            if left < 0:
+                ok = self._stands(right)
+            elif self.plain and self._stands(left) and self._stands(right):
+                ok = self._apart(left, right)
+            else:
+                ok = self._merged(self.bytes[left] + self.bytes[right]) == [left, right]
+            self.pairs[left, right] = ok
         return ok
 
+    def _stands(self, token: int) -> bool:
+        """BPE makes this token of its bytes."""
+        ok = self.whole.get(token)
+        if ok is None:
+            ok = self.whole[token] = self._merged(self.bytes[token]) == [token]
+        return ok
+
+    def _apart(self, left: int, right: int) -> bool:
+        """No merge across the border comes before those that make the two tokens. Their histories are read backwards, the
+        later merge first: what stands at the border on either side, and until when (``end``)."""
+        end, rank, made_of = None, self.rank, self.made_of
+        none = (-1, -1, -1)
+        while True:
+            across = rank.get((left, right))
+            if across is not None and (end is None or across[0] < end[0] or across[0] == end[0] and end[1]):
+                return False
+            a, b = made_of.get(left, none), made_of.get(right, none)
+            if a[0] < 0 and b[0] < 0:
+                return True
+            # Merges of one rank go from left to right: the one on the right ends later.
+            if a[0] > b[0]:
+                end, left = (a[0], False), a[2]
+            else:
+                end, right = (b[0], True), b[1]
+
     def _step(self, state: int, byte: int) -> tuple[int, int]:
         going, last, emitted = [], None, 0
         for node, left, behind in self.content[state]:
