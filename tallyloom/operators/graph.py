@@ -3,12 +3,16 @@
 Long chains are contracted first: a node with one edge in and one edge out is
 passed by, and pointer doubling finds for all nodes of a chain at once where it
 begins and how far they are from there, so a chain of n nodes takes log2 n rounds.
-What is left are branching nodes. Rings are searched for between those, one for
-every edge that closes one, and written out with the chains in between.
+The same pass drops what nothing enters or nothing leaves. That goes on, level by
+level, until only branching nodes are left; an edge of a level stands for a chain
+of the level below and carries what later steps ask of it, so that nothing is
+unfolded but the result. Rings are searched for between the branching nodes, one
+for every edge that closes one.
 
 Every round is a join of the edges with one row per node, written to the
-shared folder so that a lost executor costs a round, not the run. Hubs go
-through ``attach_by_key``. The search for a ring keeps one shortest path per
+shared folder so that a lost executor costs a round, not the run. Hubs are found
+once, as contraction gives no node more edges; their rows stay in place and meet a
+broadcast. The search for a ring keeps one shortest path per
 closing edge and branching node; it goes no further than the ring found so far.
 Its work grows with closing edges times the nodes as near as that.
 """
@@ -20,7 +24,10 @@ from pyspark.sql import functions as F
 
 from ..functions.known import is_known
 from ..session import written
-from .keyed import attach_by_key, is_small
+from .keyed import HOT_KEYS, MAX_BROADCAST_ROWS
+
+# What a node is: nothing enters or nothing leaves it; one edge in and one out, to other nodes; the others.
+DEAD, LINK, BRANCH = 0, 1, 2
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -32,113 +39,128 @@ def clean_edges(edges: DataFrame) -> DataFrame:
                                             & is_known(F.col("dst").cast("string"))).distinct()
 
 
-def _at(edges: DataFrame, nodes: DataFrame, end: str) -> DataFrame:
-    """Edges with the columns the node at one end has in ``nodes``.
-
-    Few nodes are broadcast after counting them; many go through the join that
-    keeps hubs in place.
-    """
-    if is_small(nodes):
-        return edges.join(F.broadcast(nodes), end)
-    degree = edges.groupBy(end).agg(F.count(F.lit(1)).alias("_deg"))
-    return attach_by_key(edges, nodes.join(degree, end), [end], weight="_deg")
-
+def _hubs(degrees: DataFrame, edges: int) -> DataFrame | None:
+    """Of ``node, degree`` the nodes with more than 1/HOT_KEYS of the edges; none of few edges."""
+    if edges <= MAX_BROADCAST_ROWS:
+        return None
+    hubs = _kept(degrees.where(F.col("degree") * HOT_KEYS > edges).select("node").distinct())
+    return hubs if hubs.limit(1).count() else None
 
-def _from_source(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    return _at(edges, nodes, "src")
 
+def _at(rows: DataFrame, nodes: DataFrame, end: str, hubs: DataFrame | None) -> DataFrame:
+    """``rows`` with the columns the node at one end has in ``nodes`` (one row per node). Rows at hubs stay in place."""
+    nodes = nodes.withColumnRenamed("node", end)
+    if hubs is None:
+        return rows.join(nodes, end)
+    hot = F.broadcast(hubs.withColumnRenamed("node", end))
+    spread = rows.join(F.broadcast(nodes.join(hot, end)), end)
+    return spread.unionByName(rows.join(hot, end, "left_anti").join(nodes.join(hot, end, "left_anti"), end))
 
-def _from_target(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    return _at(edges, nodes, "dst")
 
+def _plain(edges: DataFrame) -> DataFrame:
+    """Edges as those of the lowest level: ``src, dst, via, hops, closes, least``. ``via`` is the first node after ``src``,
+    so ``src, via`` tells edges apart; ``hops`` how many edges it stands for, ``closes`` if one of them leads to a smaller
+    node, ``least`` the least node passed by."""
+    return edges.select("src", "dst", F.col("dst").alias("via"), F.lit(1).cast("bigint").alias("hops"), (F.col("dst") < F.col("src")).alias("closes"),
+                        F.lit(None).cast(edges.schema["src"].dataType).alias("least"))
 
-def _peeled(edges: DataFrame) -> DataFrame:
-    """``edges`` without those that begin where none ends, or end where none begins."""
-    ends = edges.select(F.col("src").alias("node"), F.lit(1).alias("_out"), F.lit(0).alias("_in")).unionAll(
-        edges.select("dst", F.lit(0), F.lit(1)))
-    alive = _kept(ends.groupBy("node").agg(F.max("_out").alias("_out"), F.max("_in").alias("_in"))
-                        .where("_out = 1 AND _in = 1").select("node"))
-    kept = _from_source(edges, alive.withColumnRenamed("node", "src"))
-    return _kept(_from_target(kept, alive.withColumnRenamed("node", "dst")).select(*edges.columns))
 
-
-def _links(edges: DataFrame) -> DataFrame:
-    """Nodes with one edge in and one out, to other nodes, with the node before each (node, before)."""
-    sides = edges.select(F.col("dst").alias("node"), F.lit(1).alias("_in"), F.lit(0).alias("_out"), F.col("src").alias("before")).unionAll(
-        edges.select("src", F.lit(0), F.lit(1), F.lit(None)))
-    return (sides.groupBy("node").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.min("before").alias("before"))
-            .where("_in = 1 AND _out = 1 AND before <> node").select("node", "before"))
+def _nodes(edges: DataFrame) -> DataFrame:
+    """``node, kind, n_in, n_out``; of links also the edge in (``before, via, hops, closes, least``) and out (``after, out_...``)."""
+    marks = ["via", "hops", "closes", "least"]
+    into = edges.select(F.col("dst").alias("node"), F.col("src").alias("before"), *marks)
+    out = edges.select(F.col("src").alias("node"), F.col("dst").alias("after"), *(F.col(c).alias(f"out_{c}") for c in marks))
+    columns = ["before", "after", *marks, *(f"out_{c}" for c in marks)]
+    found = into.unionByName(out, allowMissingColumns=True).groupBy("node").agg(
+        F.count("before").alias("n_in"), F.count("after").alias("n_out"), *(F.max(c).alias(c) for c in columns))
+    kind = (F.when((F.col("n_in") == 0) | (F.col("n_out") == 0), DEAD)
+            .when((F.col("n_in") == 1) & (F.col("n_out") == 1) & (F.col("before") != F.col("node")), LINK).otherwise(BRANCH))
+    return found.withColumn("kind", kind)
 
 
 def _ranked(steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """For ``node, ptr`` (the node before; itself where a chain begins): ``node, first, rank``, the beginning of its
-    chain and how far it is from there. Second, the nodes of rings without a beginning: ``node, low``, the least of the ring.
-
-    Each round doubles the way that every pointer spans."""
-    at = _kept(steps.select("node", "ptr", (F.col("ptr") != F.col("node")).cast("bigint").alias("rank"), F.least("node", "ptr").alias("low"),
-                                  (F.col("ptr") == F.col("node")).alias("done")))
-    span, n = 1, at.count()
-    while span <= n and at.where("NOT done").limit(1).count():
-        ahead = at.select(F.col("node").alias("ptr"), F.col("ptr").alias("_ptr"), F.col("rank").alias("_rank"), F.col("low").alias("_low"), F.col("done").alias("_done"))
-        moved = at.where("NOT done").join(ahead, "ptr").select(
-            "node", F.col("_ptr").alias("ptr"), (F.col("rank") + F.col("_rank")).alias("rank"), F.least("low", "_low").alias("low"), F.col("_done").alias("done"))
-        at = _kept(at.where("done").unionByName(moved))
+    """Links (``node, before, via, hops, closes, least, before_kind``) in their chains: ``node, src, via, hops, closes, least``, with the
+    node and the edge that the chain begins with, and what lies between there and the node. Second, the nodes of rings
+    without a beginning: ``node, low, hops``, the least of the ring and how far the node is behind it.
+
+    Each round doubles the way that every pointer spans. A ring is spanned when its least node meets itself."""
+    at = _kept(steps.select("node", F.col("before").alias("ptr"), F.col("before_kind").alias("kind"), "via", "hops", "closes", F.least("least", "node").alias("least"),
+                            F.struct(F.col("before").alias("node"), "hops", F.lit(1).cast("bigint").alias("n")).alias("low")))
+    going, span = F.col("kind") == LINK, 1
+    while True:
+        n = at.where(going).agg(F.count(F.lit(1)).alias("open"), F.sum(F.when(F.col("low.node") == F.col("node"), F.col("low.n"))).alias("spanned")).first()
+        if n["open"] == (n["spanned"] or 0):
+            break
+        ahead = at.select(F.col("node").alias("ptr"), *(F.col(c).alias(f"_{c}") for c in ("ptr", "kind", "via", "hops", "closes", "least", "low")))
+        further = F.struct(F.col("_low.node").alias("node"), (F.col("hops") + F.col("_low.hops")).alias("hops"), (F.col("_low.n") + F.lit(span)).alias("n"))
+        moved = at.where(going).join(ahead, "ptr").select(
+            "node", F.col("_ptr").alias("ptr"), F.col("_kind").alias("kind"), F.col("_via").alias("via"), (F.col("hops") + F.col("_hops")).alias("hops"),
+            (F.col("closes") | F.col("_closes")).alias("closes"), F.least("least", "_least").alias("least"), F.least("low", further).alias("low"))
+        at = _kept(at.where(~going).unionByName(moved))
         span *= 2
-    return at.where("done").select("node", F.col("ptr").alias("first"), "rank"), at.where("NOT done").select("node", "low")
-
-
-def _contracted(edges: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Chains of ``edges`` (``src, dst, via``) as one edge each. The edges left, where ``via`` tells chains of the same ends
-    apart: it is the first node of the chain; the nodes passed by (``src, via, node, before, rank``, and ``dst`` where the
-    chain ends); the nodes of rings that nothing enters or leaves (``node, before, low``)."""
-    links = _kept(_links(edges))
-    if links.limit(1).count() == 0:
-        none = edges.limit(0)
-        return (edges, none.select("src", "dst", "via", F.col("src").alias("node"), F.col("src").alias("before"), F.lit(0).cast("bigint").alias("rank")),
-                none.select(F.col("src").alias("node"), F.col("src").alias("low"), F.col("src").alias("before")))
-    steps = links.join(links.select(F.col("node").alias("before"), F.lit(True).alias("_link")), "before", "left")
-    placed, round_ones = _ranked(steps.select("node", F.when(F.col("_link"), F.col("before")).otherwise(F.col("node")).alias("ptr")))
-    heads = links.join(placed.where("rank = 0").select("node"), "node").select(F.col("node").alias("first"), F.col("before").alias("head"))
-    passed = _kept(placed.join(heads, "first").join(links, "node").select(F.col("head").alias("src"), F.col("first").alias("via"), "node", "before", "rank"))
-    chain = passed.select(F.col("src").alias("_head"), F.col("via").alias("_via"), F.col("node").alias("src"))
-    ends = (edges.join(links.select(F.col("node").alias("dst")), "dst", "left_anti").join(chain, "src", "left"))  # edges into branching nodes
-    left = _kept(ends.select(F.coalesce("_head", "src").alias("src"), "dst", F.coalesce("_via", "via").alias("via")))
-    passed = passed.join(left, ["src", "via"])
-    return left, _kept(passed.select("src", "dst", "via", "node", "before", "rank")), _kept(round_ones.join(links, "node"))
+    chains = at.where(F.col("kind") == BRANCH).select("node", F.col("ptr").alias("src"), "via", "hops", "closes", "least")
+    behind = F.when(F.col("low.node") == F.col("node"), 0).otherwise(F.col("low.hops"))
+    return chains, at.where(going).select("node", F.col("low.node").alias("low"), behind.alias("hops"))
+
+
+def _levels(edges: DataFrame) -> tuple[DataFrame, list[tuple[DataFrame, DataFrame]], DataFrame | None]:
+    """``edges`` (as of ``_plain``) contracted, without what leads into no ring or out of none, until nothing changes. The
+    edges left; for every level what was passed by (``src, via, node, pos, next``: ``pos`` hops behind ``src``, and ``next``
+    the ``via`` of the edge out of it) and the nodes of rings that nothing enters or leaves (``low, pos, node, next``); hubs."""
+    levels, hubs, first = [], None, True
+    while True:
+        nodes = _kept(_nodes(edges))
+        n = nodes.agg(F.sum("n_in").alias("edges"), F.count_if(F.col("kind") == DEAD).alias("dead"), F.count_if(F.col("kind") == LINK).alias("links")).first()
+        if first:
+            hubs, first = _hubs(nodes.select("node", F.greatest("n_in", "n_out").alias("degree")), n["edges"] or 0), False
+        if not n["dead"] and not n["links"]:
+            return edges, levels, hubs
+        branching = nodes.where(F.col("kind") == BRANCH).select("node")
+        left = _at(_at(edges, branching, "src", hubs), branching, "dst", hubs).select(edges.columns)
+        if n["links"]:
+            kinds = nodes.select("node", "kind")
+            links = _at(nodes.where(F.col("kind") == LINK).drop("kind", "n_in", "n_out"), kinds.withColumnRenamed("kind", "before_kind"), "before", hubs)
+            links = _kept(_at(links, kinds.withColumnRenamed("kind", "after_kind"), "after", hubs))
+            chains, rings = _ranked(links)
+            ahead = links.select("node", "after", "after_kind", "out_via", "out_hops", "out_closes", "out_least")
+            chains = _kept(chains.join(ahead, "node"))
+            ends = chains.where(F.col("after_kind") == BRANCH).select(
+                "src", F.col("after").alias("dst"), "via", (F.col("hops") + F.col("out_hops")).alias("hops"),
+                (F.col("closes") | F.col("out_closes")).alias("closes"), F.least("least", "out_least").alias("least"))
+            left = left.unionByName(ends)
+            rings = rings.join(ahead, "node").select("low", F.col("hops").alias("pos"), "node", F.col("out_via").alias("next"))
+            levels.append((chains.select("src", "via", "node", F.col("hops").alias("pos"), F.col("out_via").alias("next")), _kept(rings)))
+        edges = _kept(left)
+
+
+def _unfolded(parts: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Edges of the last level (``lead, first, pos, off, src, via``) as those of the lowest, ``off`` hops behind the place
+    ``pos``; and the rings of all levels, of which ``lead`` is a node and ``first`` null."""
+    none = F.lit(None).cast(parts.schema["first"].dataType)
+    for passed, rings in reversed(levels):
+        inside = parts.join(passed.withColumnRenamed("pos", "_pos"), ["src", "via"]).select(
+            "lead", "first", "pos", (F.col("off") + F.col("_pos")).alias("off"), F.col("node").alias("src"), F.col("next").alias("via"))
+        whole = rings.select(F.col("low").alias("lead"), none.alias("first"), F.lit(0).alias("pos"), F.col("pos").alias("off"),
+                             F.col("node").alias("src"), F.col("next").alias("via"))
+        parts = _kept(parts.unionByName(inside).unionByName(whole))
+    return parts
 
 
 def trim(edges: DataFrame) -> DataFrame:
     """Drop nodes that nothing enters or nothing leaves, until none is left.
 
-    What remains is every ring and the paths between rings. Chains fall as a whole: each round contracts
-    them before it looks at the ends."""
-    core, alive, chains = edges.select("src", "dst", F.col("dst").alias("via")), None, []
-    before = core.count()
-    while before:
-        core, passed, round_ones = _contracted(core)
-        chains.append(passed.select("src", "dst", "node"))
-        alive = round_ones.select("node") if alive is None else alive.unionByName(round_ones.select("node"))
-        before = core.count()
-        core = _peeled(core)
-        if core.count() == before:
-            break
-    if alive is None:
-        return edges.select("src", "dst")
-    alive = _kept(alive.unionByName(core.select(F.col("src").alias("node"))).unionByName(core.select(F.col("dst").alias("node"))).distinct())
-    for passed in reversed(chains):  # a chain lives if both of its ends do
-        kept = _from_source(passed, alive.withColumnRenamed("node", "src"))
-        kept = _from_target(kept, alive.withColumnRenamed("node", "dst"))
-        alive = _kept(alive.unionByName(kept.select("node")).distinct())
-    kept = _from_source(edges.select("src", "dst"), alive.withColumnRenamed("node", "src"))
-    return _kept(_from_target(kept, alive.withColumnRenamed("node", "dst")).select("src", "dst"))
-
-
-def _spread_largest(edges: DataFrame) -> DataFrame:
+    What remains is every ring and the paths between rings. Chains fall as a whole."""
+    core, levels, _ = _levels(_kept(_plain(edges)))
+    parts = core.select(F.col("src").alias("lead"), F.col("via").alias("first"), F.lit(0).alias("pos"), F.lit(0).cast("bigint").alias("off"), "src", "via")
+    return _unfolded(parts, levels).select("src", F.col("via").alias("dst"))
+
+
+def _spread_largest(edges: DataFrame, hubs: DataFrame | None) -> DataFrame:
     """The largest node that reaches each node (node, color)."""
     nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
     colors = _kept(nodes.select("node", F.col("node").alias("color")))
     while True:
-        sent = _from_source(edges, colors.withColumnRenamed("node", "src"))
+        sent = _at(edges, colors, "src", hubs)
         best = sent.groupBy(F.col("dst").alias("node")).agg(F.max("color").alias("_c"))
         new = colors.join(best, "node", "left").select(
             "node", F.greatest("color", F.coalesce("_c", "color")).alias("color"),
@@ -156,17 +178,19 @@ def components(edges: DataFrame, trimmed: bool = False) -> DataFrame:
     those largest nodes inside their colour: what reaches them is a component.
     Settled nodes leave and the rest goes round again.
     """
-    rest = edges if trimmed else trim(edges)
+    rest = _kept(edges if trimmed else trim(edges))
+    degrees = [rest.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("degree")) for end in ("src", "dst")]
+    hubs = _hubs(degrees[0].unionByName(degrees[1]), rest.count())
     found = None
     while rest.limit(1).count():
-        colors = _spread_largest(rest)
-        same = _from_source(rest, colors.withColumnRenamed("node", "src").withColumnRenamed("color", "_a"))
-        same = _from_target(same, colors.withColumnRenamed("node", "dst").withColumnRenamed("color", "_b"))
+        colors = _spread_largest(rest, hubs)
+        same = _at(rest, colors.withColumnRenamed("color", "_a"), "src", hubs)
+        same = _at(same, colors.withColumnRenamed("color", "_b"), "dst", hubs)
         same = _kept(same.where(F.col("_a") == F.col("_b")).select("src", "dst"))
         reached = _kept(colors.where(F.col("node") == F.col("color")))
         fresh = reached
         while True:
-            back = _from_target(same, fresh.select(F.col("node").alias("dst"), "color"))
+            back = _at(same, fresh.select("node", "color"), "dst", hubs)
             fresh = _kept(back.select(F.col("src").alias("node"), "color").distinct()
                                 .join(reached.select("node"), "node", "left_anti"))
             if fresh.limit(1).count() == 0:
@@ -193,7 +217,7 @@ def _shortest(inner: DataFrame) -> DataFrame:
     while front.limit(1).count():
         home = best.where(F.col("node") == F.col("_src")).select(*ring, F.col("way.hops").alias("_found"))
         going = front.where(F.col("node") != F.col("_src")).join(home, ring, "left").where("_found IS NULL OR way.hops < _found")
-        ahead = _from_source(inner, going.select(*ring, F.col("node").alias("src"), F.col("way").alias("_way")))
+        ahead = inner.join(going.select(*ring, F.col("node").alias("src"), F.col("way").alias("_way")), "src")
         new = ahead.groupBy(*ring, F.col("dst").alias("node")).agg(F.min(F.struct(
             (F.col("_way.hops") + F.col("hops")).alias("hops"), F.concat("_way.path", F.array(step)).alias("path"))).alias("way"))
         known = best.select(*ring, "node", F.col("way").alias("_known"))
@@ -214,43 +238,33 @@ def find_rings(edges: DataFrame) -> DataFrame:
     nodes come first after it), once for the same nodes. ``component, members, ring``: the smallest node of the cyclic
     component and how many nodes that has; the ring begins and ends at its own smallest node. A node that points at
     itself is a ring of its own."""
-    edges = _kept(clean_edges(edges))
+    edges = clean_edges(edges)
+    edges = _kept(_plain(edges))
     loops = edges.where(F.col("src") == F.col("dst")).select(
         F.col("src").alias("component"), F.lit(1).cast("bigint").alias("members"),
         F.array("src", "dst").alias("ring"))
-    alive = trim(edges.where(F.col("src") != F.col("dst")))
-    core, passed, round_ones = _contracted(alive.select("src", "dst", F.col("dst").alias("via")))
-
-    # Components that are one ring: ranked from the least node on.
-    placed, _ = _ranked(round_ones.select("node", F.when(F.col("node") == F.col("low"), F.col("node")).otherwise(F.col("before")).alias("ptr")))
-    plain = (placed.groupBy(F.col("first").alias("component")).agg(F.array_sort(F.collect_list(F.struct("rank", "node"))).alias("l"))
-             .select("component", F.size("l").cast("bigint").alias("members"), _closed(F.transform("l", lambda x: x["node"])).alias("ring")))
-
-    chains = passed.groupBy("src", "via").agg(F.max("rank").alias("_rank"), F.bool_or(F.col("node") < F.col("before")).alias("_falls"),
-                                              F.max_by("node", "rank").alias("_last"))
-    core = core.join(chains, ["src", "via"], "left").select(
-        "src", "dst", "via", (F.coalesce("_rank", F.lit(-1)) + 2).alias("hops"),
-        (F.coalesce("_falls", F.lit(False)) | (F.col("dst") <= F.coalesce("_last", "src"))).alias("closes"))
-    core = _kept(core)
+    core, levels, hubs = _levels(edges.where(F.col("src") != F.col("dst")))
+
     members = components(core.where(F.col("src") != F.col("dst")).select("src", "dst").distinct(), trimmed=True)
     alone = core.where(F.col("src") == F.col("dst")).select(F.col("src").alias("node")).distinct().join(members, "node", "left_anti")
     members = _kept(members.unionByName(alone.select("node", F.col("node").alias("component"))))
-    inner = _from_source(core, members.select(F.col("node").alias("src"), F.col("component").alias("_a")))
-    inner = _from_target(inner, members.select(F.col("node").alias("dst"), "component"))
+    inner = _at(core, members.withColumnRenamed("component", "_a"), "src", hubs)
+    inner = _at(inner, members, "dst", hubs)
     inner = _kept(inner.where(F.col("_a") == F.col("component")).drop("_a"))
-    every = members.select("component", "node").unionByName(
-        passed.select("src", "via", "node").join(inner.select("src", "via", "component"), ["src", "via"]).select("component", "node"))
-    sizes = every.groupBy("component").agg(F.min("node").alias("_least"), F.count(F.lit(1)).alias("members"))
+    every = members.select("component", "node", F.lit(1).cast("bigint").alias("n")).unionByName(
+        inner.select("component", F.col("least").alias("node"), (F.col("hops") - 1).alias("n")))
+    sizes = every.groupBy("component").agg(F.min("node").alias("_least"), F.sum("n").alias("members"))
 
     found = _kept(_shortest(inner.select("src", "dst", "via", "hops", "closes")))
     ring = ["_src", "_via"]
-    parts = found.select(*ring, F.posexplode("path").alias("pos", "_e")).select(*ring, "pos", "_e.src", "_e.via")
-    nodes = parts.select(*ring, "pos", F.lit(-1).cast("bigint").alias("rank"), F.col("src").alias("node")).unionByName(
-        parts.join(passed.select("src", "via", "node", "rank"), ["src", "via"]).select(*ring, "pos", "rank", "node"))
-    listed = (nodes.groupBy(*ring).agg(F.array_sort(F.collect_list(F.struct("pos", "rank", "node"))).alias("l"))
-              .join(inner.select(F.col("src").alias("_src"), F.col("via").alias("_via"), "component"), ring)
-              .select("component", _closed(F.transform("l", lambda x: x["node"])).alias("ring")))
-    once = listed.groupBy("component", F.array_sort(F.array_distinct("ring")).alias("_set")).agg(F.min("ring").alias("ring"))
+    parts = found.select(F.col("_src").alias("lead"), F.col("_via").alias("first"), F.posexplode("path").alias("pos", "_e")).select(
+        "lead", "first", "pos", F.lit(0).cast("bigint").alias("off"), "_e.src", "_e.via")
+    listed = _kept(_unfolded(parts, levels).groupBy("lead", "first").agg(F.array_sort(F.collect_list(F.struct("pos", "off", "src"))).alias("l"))
+                   .select(F.col("lead").alias("_src"), F.col("first").alias("_via"), _closed(F.transform("l", lambda x: x["src"])).alias("ring")))
+    # Components that are one ring.
+    plain = listed.where("_via IS NULL").select(F.col("ring")[0].alias("component"), (F.size("ring") - 1).cast("bigint").alias("members"), "ring")
+    branched = listed.join(inner.select(F.col("src").alias("_src"), F.col("via").alias("_via"), "component"), ring)
+    once = branched.groupBy("component", F.array_sort(F.array_distinct("ring")).alias("_set")).agg(F.min("ring").alias("ring"))
     branched = once.join(sizes, "component").select(F.col("_least").alias("component"), "members", "ring")
     return plain.unionByName(branched).unionByName(loops)
 

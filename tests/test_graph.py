@@ -110,3 +110,50 @@ def test_long_chains_take_few_rounds(spark, monkeypatch):
     rounds.clear()
     (ring,) = G.find_rings(chain.unionByName(spark.sql(f"SELECT {n}L AS src, 0L AS dst"))).collect()
     assert ring.members == n + 1 and ring.ring == [*range(n + 1), 0] and max(rounds) <= 20
+
+
+def test_rounds_do_not_grow_with_the_number_of_short_rings(spark, monkeypatch):
+    """Rings are spanned when their least node meets itself, not when a pointer could span all nodes there are."""
+    rounds, real, ranked = [], G._kept, G._ranked
+
+    def counted(steps):
+        seen = []
+        monkeypatch.setattr(G, "_kept", lambda df: (seen.append(1), real(df))[1])
+        out = ranked(steps)
+        monkeypatch.setattr(G, "_kept", real)
+        rounds.append(len(seen))
+        return out
+
+    monkeypatch.setattr(G, "_ranked", counted)
+    rings = spark.range(20_000).selectExpr("id AS src", "id - id % 4 + (id + 1) % 4 AS dst")
+    got = G.find_rings(rings).collect()
+    assert {tuple(r.ring) for r in got} == {(k, k + 1, k + 2, k + 3, k) for k in range(0, 20_000, 4)}
+    assert {r.members for r in got} == {4} and sum(rounds) <= 4
+
+
+def test_rings_through_hubs(spark, monkeypatch):
+    monkeypatch.setattr(G, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(G, "HOT_KEYS", 8)
+    rng = random.Random(5)
+    edges = [(0, k) for k in range(1, 30)] + [(k, 0) for k in range(5, 25)] + [(rng.randrange(1, 60), rng.randrange(1, 60)) for _ in range(40)]
+    got = G.find_rings(spark.createDataFrame(edges, "src long, dst long")).collect()
+    assert {tuple(r.ring) for r in got} == plain_rings(edges) and len(got) == len(plain_rings(edges))
+    members = strong(edges)
+    assert all((r.component, r.members) == (min(members[r.ring[0]]), len(members[r.ring[0]])) for r in got if len(r.ring) > 2)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_chains_of_several_levels(spark, seed):
+    """Dead ends that hang on rings and on each other: nodes become links only after others have gone."""
+    rng = random.Random(seed)
+    edges = [(k, k + 1) for k in range(40)] + [(40, 0), (17, 3), (30, 22)]
+    for at in range(100, 160):
+        edges.append((at, rng.choice([*range(41), *range(100, at)])) if rng.random() < 0.5 else (rng.choice([*range(41), *range(100, at)]), at))
+    edges += [(200 + k, 200 + (k + 1) % 9) for k in range(9)] + [(203, 100), (300, 204), (301, 300)]
+    turn = {n: i for i, n in enumerate(rng.sample(range(1000), 400))}
+    names = sorted({n for e in edges for n in e})
+    edges = [(list(turn)[names.index(a)], list(turn)[names.index(b)]) for a, b in edges]
+    got = G.find_rings(spark.createDataFrame(edges, "src long, dst long")).collect()
+    assert {tuple(r.ring) for r in got} == plain_rings(edges)
+    members = strong(edges)
+    assert all((r.component, r.members) == (min(members[r.ring[0]]), len(members[r.ring[0]])) for r in got)
